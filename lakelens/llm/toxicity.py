@@ -1,14 +1,15 @@
 """Toxicity by maximum-scoring segments.
 
 * Token scores: log-odds of toxic against clean labelled documents under an informative Dirichlet prior (the pooled
-  counts), for a word and for its first letters, as a lower confidence bound; all other tokens score a small negative drift.
+  counts), for a word and for its first letters, where they are significant; all other tokens score a small negative drift.
 * Segments: a linear scan finds all maximal-scoring segments of a text.
 * Calibration: Karlin-Altschul extreme values. lambda solves E[exp(lambda s)] = 1 over the tokens of clean documents, K
   fits how often their best segment exceeds a level. A segment's normalised score is lambda S - ln(K n); the positive
   ones of a document are summed, and a logistic curve fitted on documents held apart turns the sum into a score.
 
 Features are hashed to 2**FEATURES_LOG2 buckets, so the model has the same size for any corpus. It is fitted on a sample
-of at most SAMPLE_ROWS labelled rows (smallest hashes of doc_id), never on rows whose crc32(doc_id as text) mod 5 is 0.
+of at most SAMPLE_ROWS labelled rows (smallest hashes of doc_id; near copies with equal labels count once), never on rows
+whose crc32(doc_id as text) mod 5 is 0.
 
 Nulls: a null text is empty and gets the score of a text without segments; a null doc_id or label is not learned from
 and is scored like any other row (held_out as for the empty text). Repeated rows are scored alike. Without labels of
@@ -27,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import ngrams, word_hashes
+
 FEATURES_LOG2 = 20
 SAMPLE_ROWS = 40_000
 PREFIX = 4
-PRIOR, Z, DRIFT, CEILING = 50.0, 2.6, -0.25, 6.0
+PRIOR, MARGIN, DRIFT, CEILING = 5.0, 1.0, -0.25, 8.0
 BIN, BINS = 0.5, 80
 #: Distinct words a worker remembers.
 MEMO_WORDS = 500_000
@@ -112,7 +115,16 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     """text, toxic and fold of a bounded sample of labelled rows. The sampled ids are broadcast: there are at most rows."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
     known = known.withColumn("_fold", fold(F.col("_id"))).where("_fold <> 0").orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", F.col("_toxic").alias("toxic"), F.col("_fold").alias("fold"))
+    found = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", "text", F.col("_toxic").alias("toxic"), F.col("_fold").alias("fold"))
+
+    def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [min(ngrams(word_hashes(x.as_py()), 5).view(np.int64).tolist(), default=0) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], [*batch.schema.names, "family"])
+
+    # Near copies say the same thing many times: of those with a label in common, one row stays (by their least shingle).
+    rows = found.mapInArrow(family, "doc_id long, text string, toxic int, fold long, family long")
+    return rows.groupBy("family", "toxic").agg(F.min(F.struct("doc_id", "text", "fold")).alias("r")).select("r.text", "toxic", "r.fold")
 
 
 def count_features(rows: DataFrame) -> DataFrame:
@@ -135,14 +147,22 @@ def count_features(rows: DataFrame) -> DataFrame:
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Lower bound of each bucket's log-odds ratio under a Dirichlet prior in proportion to the pooled counts; 0 if not positive."""
+    """Each bucket's log-odds ratio under a Dirichlet prior in proportion to the pooled counts, where it is significant.
+
+    Significant: the signed root of the deviance from equal rates is above what the largest of as many chance buckets
+    would reach; 0 elsewhere.
+    """
     if not n_toxic or not n_clean:
         return np.zeros(len(toxic), np.float32)
-    prior = PRIOR * (toxic + clean + 0.5) / (n_toxic + n_clean)
-    odds = lambda y, n: np.log((y + prior) / (n + PRIOR - y - prior).clip(1e-9))
-    spread = np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-    bound = odds(toxic, n_toxic) - odds(clean, n_clean) - Z * spread
-    return np.where(bound > 0, np.minimum(bound, CEILING), 0).astype(np.float32)
+    both = toxic + clean
+    prior = PRIOR * (both + 0.5) / (n_toxic + n_clean)
+    odds = lambda y, n: np.log((y + prior) / (n + PRIOR - y - prior).clip(0.5))
+    expected = np.maximum(both * (n_toxic / (n_toxic + n_clean)), 1e-9)
+    part = lambda y, e: np.where(y > 0, y * np.log(np.maximum(y, 1) / np.maximum(e, 1e-9)), 0.0)
+    deviance = 2 * (part(toxic, expected) + part(clean, both - expected))
+    least = math.sqrt(2 * math.log(max(2, int((toxic > 0).sum())))) + MARGIN
+    score = odds(toxic, n_toxic) - odds(clean, n_clean)
+    return np.where((toxic > expected) & (deviance > least**2) & (score > 0), np.minimum(score, CEILING), 0).astype(np.float32)
 
 
 def solve_rate(scores: np.ndarray, weights: np.ndarray) -> float:
