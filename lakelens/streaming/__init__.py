@@ -1,0 +1 @@
+"""Snapshots are read in batch only; a stream over a table is not offered."""
