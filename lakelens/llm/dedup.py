@@ -51,7 +51,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     rows = full_hashes(docs)
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col("_row").alias("d")))
     groups = rows.where("full_hash is not null").groupBy("full_hash").agg(best.alias("_best"), F.count("*").alias("_size")).where("_size > 1")
-    joined = rows.join(groups, "full_hash", "left")
+    # rows without a hash have keys of their own, so that they spread over the tasks
+    groups = groups.withColumnRenamed("full_hash", "_key")
+    joined = rows.withColumn("_key", F.coalesce("full_hash", F.col("_row").cast("string"))).join(groups, "_key", "left")
     alone = F.col("_size").isNull()
     return joined.select(
         "_row", "doc_id", "full_hash",
