@@ -4,10 +4,11 @@
 2. First pivots: single shingles. All shingles have one global order: rarest first as far as they are frequent (counts
    of frequent shingles come from all documents), then by hash. A set's Voronoi cell is that of its first shingle; its
    window reaches into the cells of its first n - ceil(0.8 n) + 1, as two sets of similarity 0.8 share one of these.
-3. Second pivots: in each cell with two or more sets one set is the pivot; all others are compared with it. Sets linked
-   to the same pivot are connected and need no comparison among themselves.
-4. Cells join on: sets of a cell not yet connected meet if their sizes, the places of the shared shingle and the
-   triangle inequality allow it: |d(x, p) - d(y, p)| <= 0.2 for their common pivot p. What is left is compared exactly.
+3. Second pivots: in each cell with two or more sets one set is the pivot. Sets that share many cells with a pivot are
+   compared with it; those linked to the same pivot are connected and need no comparison among themselves.
+4. Cells join on: sets of a cell not yet connected meet if their sizes and the triangle inequality allow it:
+   |d(x, p) - d(y, p)| <= 0.2 for a common pivot p. A pair's count of shared cells bounds its intersection; what the
+   bound allows is compared exactly.
 5. Components of all links, by stars (large and small in turn), in tables.
 
 The order of shingles changes cost only: every choice of it gives the same links.
@@ -35,6 +36,8 @@ WINDOW = 5
 PART, WHOLE = 80, 100
 #: Shingles a task's summary of frequent ones holds, and how many the ordering uses: a bound, not a filter.
 SUMMARY, FREQUENT, LEAST = 1 << 15, 1 << 15, 16
+#: A set is compared with a pivot early if they share this part of its cells. It decides when a pair is compared, not whether.
+EARLY = 0.2
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -101,40 +104,38 @@ def ordered_prefix(found: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> np.
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """_row (place in the scan), doc_id, n, key (of the set), prefix."""
+    """_row (place in the scan), doc_id, n, key (of the set), k (length of the window), prefix (its shingles)."""
     sort = np.argsort(frequent)
     shared = docs.sparkSession.sparkContext.broadcast((frequent[sort], sort))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rank = shared.value
         for batch in batches:
-            n, key, prefix = [], [], []
+            n, key, k, prefix = [], [], [], []
             for text in batch.column(2):
                 found = shingle_set(text.as_py())
                 n.append(len(found))
                 key.append(xxhash.xxh3_128_digest(found.tobytes()))
+                k.append(prefix_length(len(found)))
                 prefix.append(ordered_prefix(found, keys, rank).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(k, pa.int32()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "k", "prefix"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary")
+    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, k int, prefix binary")
 
 
-def cells(classes: DataFrame) -> DataFrame:
-    """h, x, n, pos: a row for each cell that a set's window reaches."""
+def cells(rows: DataFrame) -> DataFrame:
+    """h, x: a row for each cell that a set's window reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, len(batch), 500):
                 part = batch.slice(a, 500)
-                prefix = [np.frombuffer(x.as_py(), np.int64) for x in part.column(2)]
-                size = np.array([len(x) for x in prefix], np.int64)
-                at = np.repeat(np.arange(len(prefix)), size)
-                pos = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-                x, n = part.column(0).to_numpy(), part.column(1).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])), pa.array(x[at]), pa.array(n[at], pa.int32()), pa.array(pos, pa.int32())], ["h", "x", "n", "pos"])
+                prefix = [np.frombuffer(x.as_py(), np.int64) for x in part.column(1)]
+                x = np.repeat(part.column(0).to_numpy(), [len(p) for p in prefix])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefix)), pa.array(x)], ["h", "x"])
 
-    return classes.select("x", "n", "prefix").mapInArrow(run, "h long, x long, n int, pos int")
+    return rows.select("x", "prefix").mapInArrow(run, "h long, x long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -149,8 +150,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return maybe_in(rows, bitmap(wanted, F.col("x")), F.col("x"), "_maybe").where("_maybe").select("x", "text").mapInArrow(run, "x long, shingles binary")
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (x, y) with the exact sizes of intersection and union. The sets of a pair meet in one row."""
+    pairs = materialize(pairs, "pairs")
+    sets = materialize(sets_of(docs, pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,35 +195,37 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b: links between classes (by their rows), enough of them to connect what is connected."""
-    entries = cells(classes)
+def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: links between classes (by their rows x), enough of them to connect what is connected."""
+    size = classes.select("x", "n", "k")
+    entries = cells(rows.select(F.col("_row").alias("x"), "prefix").join(classes.select("x"), "x"))
     shared = entries.groupBy("h").agg(F.count("*").alias("c"), F.min("x").alias("p")).where("c > 1").select("h", "p")
     entries = materialize(entries.join(shared, "h"), "cells")
-    stars = materialize(entries.where("x <> p").select("x", F.col("p").alias("y")).distinct(), "stars")
-    wanted = stars.select("x").unionByName(stars.select(F.col("y").alias("x"))).distinct()
-    sets = materialize(sets_of(docs, wanted), "sets")
-    near = materialize(compared(stars, sets), "near")
+    stars = entries.where("x <> p").groupBy("x", F.col("p").alias("y")).agg(F.count("*").alias("c"))
+    stars = stars.join(size, "x").where(F.col("c") >= EARLY * F.col("k")).select("x", "y")
+    near = materialize(compared(docs, stars), "near")
     first = near.where(linked()).select(F.col("x").alias("a"), F.col("y").alias("b"))
     # A set's label: the smallest pivot it is linked to, or itself. Equal labels: connected already.
     label = first.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("label"))
     distance = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
-    known = entries.join(label, "x", "left").withColumn("label", F.coalesce("label", "x")).join(distance, ["x", "p"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+    known = entries.join(size.join(label, "x", "left"), "x").withColumn("label", F.coalesce("label", "x")).join(distance, ["x", "p"], "left")
+    known = known.withColumn("d", F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.col("d")))
     mixed = known.groupBy("h").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("h")
-    known = known.join(mixed, "h", "left_semi").select("h", "x", "n", "pos", "label", "d")
-    known = materialize(known, "mixed-cells")
-    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "pos", "label", "d")])
-    most = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+    known = materialize(known.join(mixed, "h", "left_semi").select("h", "x", "n", "k", "label", "d"), "mixed-cells")
+    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "k", "label", "d")])
     pairs = known.join(other, "h").where(
         ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("x") < F.col("x2"))))
         & (F.col("label") != F.col("label2"))
         & (WHOLE * F.col("n") >= PART * F.col("n2"))
-        & ((WHOLE + PART) * most >= PART * (F.col("n") + F.col("n2")))
-        & (F.abs(F.col("d") - F.col("d2")) <= 1 - PART / WHOLE + 1e-9)
+        & F.coalesce(F.abs(F.col("d") - F.col("d2")) <= 1 - PART / WHOLE + 1e-9, F.lit(True))
     )
-    pairs = pairs.select(F.greatest("x", "x2").alias("x"), F.least("x", "x2").alias("y")).distinct()
+    pairs = pairs.groupBy("x", "x2", "n", "n2", "k", "k2").agg(F.count("*").alias("c"))
+    # Of two windows one ends first; beyond its end its set has n - k shingles, and within it c are common.
+    most = F.col("c") + F.greatest(F.col("n") - F.col("k"), F.col("n2") - F.col("k2"))
+    pairs = pairs.where((WHOLE + PART) * most >= PART * (F.col("n") + F.col("n2")))
+    pairs = pairs.select(F.greatest("x", "x2").alias("x"), F.least("x", "x2").alias("y"))
     done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    more = compared(pairs.join(done, ["x", "y"], "left_anti"), sets).where(linked())
+    more = compared(docs, pairs.join(done, ["x", "y"], "left_anti")).where(linked())
     return first.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
@@ -229,8 +234,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(describe(docs, frequent_shingles(docs)), "shingle-sets")
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
-    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), F.first("n").alias("n"), first.alias("best"), F.first("prefix").alias("prefix")), "classes")
-    roots = materialize(components(links(docs, classes)), "roots")
+    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), F.max("n").alias("n"), F.max("k").alias("k"), first.alias("best")), "classes")
+    roots = materialize(components(links(docs, rows, classes)), "roots")
     rooted = classes.select("key", "x", "best").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
     best = rooted.groupBy("root").agg(F.min("best").alias("best"))
     final = rooted.select("key", "root").join(best, "root").select("key", F.col("best.b").alias("component_id"), F.col("best.c").alias("keep_row"))
