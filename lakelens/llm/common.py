@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 #: ASCII white space; words are the maximal runs of anything else.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +31,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, and any executor can reread it."""
+    """Writes df to the shared folder and reads it back: cuts lineage, and any executor can reread it. The shuffle files
+    of the write go when it ends, as nothing needs them once the table is there."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
