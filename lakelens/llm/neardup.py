@@ -4,11 +4,13 @@
 2. First pivots: single shingles. All shingles have one global order: rarest first as far as they are frequent (counts
    of frequent shingles come from all documents), then by hash. A set's Voronoi cell is that of its first shingle; its
    window reaches into the cells of its first n - ceil(0.8 n) + 1, as two sets of similarity 0.8 share one of these.
-3. Second pivots: in each cell with two or more sets one set is the pivot. Sets that share many cells with a pivot are
-   compared with it; those linked to the same pivot are connected and need no comparison among themselves.
-4. Cells join on: sets of a cell not yet connected meet if their sizes and the triangle inequality allow it:
-   |d(x, p) - d(y, p)| <= 0.2 for a common pivot p. A pair's count of shared cells bounds its intersection; what the
-   bound allows is compared exactly.
+   Where two sets first share a shingle, at places i and j of their orders, at most min(n - i, m - j) shingles are
+   common; a cell brings together only what this bound, and the sizes, allow.
+3. Second pivots: in each cell the set that comes to it earliest in its order, so the one with the fewest shingles of
+   its own, is the pivot. Sets are compared with the pivots of their cells; what is linked is connected (components).
+4. Cells join on: sets not yet connected meet if the triangle inequality allows it too: |d(x, p) - d(y, p)| <= 0.2.
+   In a cell only sets outside its pivot's component meet others, so a large component isn't paired with itself. Of
+   what remains first the windows are compared, which bounds the similarity, and then the whole sets.
 5. Components of all links, by stars (large and small in turn), in tables.
 
 The order of shingles changes cost only: every choice of it gives the same links.
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap, materialize, maybe_in
+from .dedup import drop_rows, numbered
 from .hashing import ngrams, word_hashes
 
 WINDOW = 5
@@ -36,8 +39,6 @@ WINDOW = 5
 PART, WHOLE = 80, 100
 #: Shingles a task's summary of frequent ones holds, and how many the ordering uses: a bound, not a filter.
 SUMMARY, FREQUENT, LEAST = 1 << 15, 1 << 15, 16
-#: A set is compared with a pivot early if they share this part of its cells. It decides when a pair is compared, not whether.
-EARLY = 0.2
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -104,71 +105,91 @@ def ordered_prefix(found: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> np.
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """_row (place in the scan), doc_id, n, key (of the set), k (length of the window), prefix (its shingles)."""
+    """_row (place in the scan), doc_id, n, key (of the set), prefix (the shingles of its window)."""
     sort = np.argsort(frequent)
     shared = docs.sparkSession.sparkContext.broadcast((frequent[sort], sort))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rank = shared.value
         for batch in batches:
-            n, key, k, prefix = [], [], [], []
+            n, key, prefix = [], [], []
             for text in batch.column(2):
                 found = shingle_set(text.as_py())
                 n.append(len(found))
                 key.append(xxhash.xxh3_128_digest(found.tobytes()))
-                k.append(prefix_length(len(found)))
                 prefix.append(ordered_prefix(found, keys, rank).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(k, pa.int32()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "k", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "prefix"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, k int, prefix binary")
+    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary")
 
 
 def cells(rows: DataFrame) -> DataFrame:
-    """h, x: a row for each cell that a set's window reaches."""
+    """h, x, n, i: a row for each cell that a set's window reaches; i is the cell's place in the set's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, len(batch), 500):
                 part = batch.slice(a, 500)
-                prefix = [np.frombuffer(x.as_py(), np.int64) for x in part.column(1)]
-                x = np.repeat(part.column(0).to_numpy(), [len(p) for p in prefix])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefix)), pa.array(x)], ["h", "x"])
+                prefix = [np.frombuffer(x.as_py(), np.int64) for x in part.column(2)]
+                lengths = [len(p) for p in prefix]
+                x, n = (np.repeat(part.column(k).to_numpy(), lengths) for k in (0, 1))
+                at = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.concatenate(prefix), x, n, at)], ["h", "x", "n", "i"])
 
-    return rows.select("x", "prefix").mapInArrow(run, "h long, x long")
+    return rows.select("x", "n", "prefix").mapInArrow(run, "h long, x long, n int, i int")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """x, shingles of the rows in wanted (x), and of the few more that a filter of fixed size lets pass."""
+def allowed(n: str, i: str, m: str, j: str):
+    """Whether sets of n and m shingles can be similar enough if they first share one at their places i and j."""
+    return F.expr(f"{WHOLE + PART} * least({n} - {i}, {m} - {j}) >= {PART} * ({n} + {m}) and {WHOLE} * least({n}, {m}) >= {PART} * greatest({n}, {m})")
+
+
+def members(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows whose x is in a pair (x, y), and the few more that a filter of fixed size lets pass."""
+    wanted = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x")))
+    return maybe_in(rows, bitmap(wanted, F.col("x")), F.col("x"), "_maybe").where("_maybe").drop("_maybe")
+
+
+def sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """x, n, shingles of the members of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["x", "shingles"])
+            sets = [shingle_set(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], ["x", "n", "shingles"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("x"), "text")
-    return maybe_in(rows, bitmap(wanted, F.col("x")), F.col("x"), "_maybe").where("_maybe").select("x", "text").mapInArrow(run, "x long, shingles binary")
+    return members(rows, pairs).mapInArrow(run, "x long, n int, shingles binary")
 
 
-def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs (x, y) with the exact sizes of intersection and union. The sets of a pair meet in one row."""
-    pairs = materialize(pairs, "pairs")
-    sets = materialize(sets_of(docs, pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()), "sets")
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (x, y) with the sizes of intersection and union; sets has x, n and shingles, all n or those of the window.
+    Of two windows one ends first: its set has n - k shingles beyond it, and the common ones within it are in both
+    windows. So with windows the intersection is a bound from above, and with whole sets it is exact."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both, union = [], []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+            for n, a, m, b in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5), strict=True):
                 a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 merged = np.concatenate([a, b])
                 merged.sort(kind="stable")
-                both.append(int((merged[1:] == merged[:-1]).sum()))
-                union.append(len(a) + len(b) - both[-1])
+                both.append(int((merged[1:] == merged[:-1]).sum()) + max(n - len(a), m - len(b)))
+                union.append(n + m - both[-1])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int32()), pa.array(union, pa.int32())], ["x", "y", "both", "all"])
 
-    left = pairs.join(sets.withColumnRenamed("shingles", "a"), "x")
-    joined = left.join(sets.select(F.col("x").alias("y"), F.col("shingles").alias("b")), "y")
-    return joined.select("x", "y", "a", "b").mapInArrow(run, "x long, y long, both int, all int")
+    left = pairs.join(sets.select("x", "n", F.col("shingles").alias("a")), "x")
+    joined = left.join(sets.select(F.col("x").alias("y"), F.col("n").alias("m"), F.col("shingles").alias("b")), "y")
+    return joined.select("x", "y", "n", "a", "m", "b").mapInArrow(run, "x long, y long, both int, all int")
+
+
+def compared(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of pairs (x, y) whose windows allow a link, with the exact sizes of intersection and union."""
+    pairs = materialize(pairs, "pairs")
+    windows = members(rows.select(F.col("_row").alias("x"), "n", F.col("prefix").alias("shingles")), pairs)
+    pairs = materialize(overlaps(pairs, windows).where(linked()).select("x", "y"), "bounded-pairs")
+    return overlaps(pairs, materialize(sets_of(docs, pairs), "sets"))
 
 
 def linked():
@@ -195,37 +216,42 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def pivoted_cells(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """cells of one set of each class, without those that one set reaches alone, with the pivot p of each, its n and i.
+    A filter of fixed size keeps most of the lone cells from being shuffled a second time."""
+    copies = rows.where("n > 0").select("_row", "key").join(classes.select("key", "x"), "key").where("_row <> x").select("_row")
+    first = drop_rows(rows.select("_row", "n", "prefix").where("n > 0"), materialize(copies, "copies"), F.col("_row"), "_row")
+    entries = cells(first.withColumnRenamed("_row", "x"))
+    shared = materialize(entries.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "shared-cells")
+    maybe = maybe_in(entries, bitmap(shared, F.col("h")), F.col("h"), "_maybe").where("_maybe").select("h", "x", "n", "i")
+    entries = materialize(maybe.join(shared, "h"), "cells")
+    pivots = entries.groupBy("h").agg(F.min(F.struct("i", "x", "n")).alias("p"))
+    return entries.join(pivots.select("h", F.col("p.x").alias("p"), F.col("p.n").alias("pn"), F.col("p.i").alias("pi")), "h")
+
+
 def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: links between classes (by their rows x), enough of them to connect what is connected."""
-    size = classes.select("x", "n", "k")
-    entries = cells(rows.select(F.col("_row").alias("x"), "prefix").join(classes.select("x"), "x"))
-    shared = entries.groupBy("h").agg(F.count("*").alias("c"), F.min("x").alias("p")).where("c > 1").select("h", "p")
-    entries = materialize(entries.join(shared, "h"), "cells")
-    stars = entries.where("x <> p").groupBy("x", F.col("p").alias("y")).agg(F.count("*").alias("c"))
-    stars = stars.join(size, "x").where(F.col("c") >= EARLY * F.col("k")).select("x", "y")
-    near = materialize(compared(docs, stars), "near")
+    entries = pivoted_cells(rows, classes)
+    stars = entries.where((F.col("x") != F.col("p")) & allowed("n", "i", "pn", "pi")).select("x", F.col("p").alias("y")).distinct()
+    near = materialize(compared(docs, rows, stars), "near")
     first = near.where(linked()).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    # A set's label: the smallest pivot it is linked to, or itself. Equal labels: connected already.
-    label = first.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("label"))
+    label = components(first).select(F.col("node").alias("x"), F.col("root").alias("label"))
     distance = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
-    known = entries.join(size.join(label, "x", "left"), "x").withColumn("label", F.coalesce("label", "x")).join(distance, ["x", "p"], "left")
+    known = entries.select("h", "x", "n", "i", "p").join(label, "x", "left").withColumn("label", F.coalesce("label", "x")).join(distance, ["x", "p"], "left")
     known = known.withColumn("d", F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.col("d")))
-    mixed = known.groupBy("h").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("h")
-    known = materialize(known.join(mixed, "h", "left_semi").select("h", "x", "n", "k", "label", "d"), "mixed-cells")
-    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "k", "label", "d")])
-    pairs = known.join(other, "h").where(
-        ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("x") < F.col("x2"))))
-        & (F.col("label") != F.col("label2"))
-        & (WHOLE * F.col("n") >= PART * F.col("n2"))
+    known = materialize(known, "labelled-cells")
+    mixed = known.groupBy("h").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max(F.expr("if(x = p, label, null)")).alias("main")).where("l0 <> l1")
+    known = materialize(known.join(mixed.select("h", "main"), "h").drop("p"), "mixed-cells")
+    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "label", "d")])
+    pairs = known.where("label <> main").join(other, "h").where(
+        (F.col("label") != F.col("label2"))
+        & ((F.col("label2") == F.col("main")) | (F.col("x") < F.col("x2")))
+        & allowed("n", "i", "n2", "i2")
         & F.coalesce(F.abs(F.col("d") - F.col("d2")) <= 1 - PART / WHOLE + 1e-9, F.lit(True))
     )
-    pairs = pairs.groupBy("x", "x2", "n", "n2", "k", "k2").agg(F.count("*").alias("c"))
-    # Of two windows one ends first; beyond its end its set has n - k shingles, and within it c are common.
-    most = F.col("c") + F.greatest(F.col("n") - F.col("k"), F.col("n2") - F.col("k2"))
-    pairs = pairs.where((WHOLE + PART) * most >= PART * (F.col("n") + F.col("n2")))
-    pairs = pairs.select(F.greatest("x", "x2").alias("x"), F.least("x", "x2").alias("y"))
+    pairs = pairs.select(F.greatest("x", "x2").alias("x"), F.least("x", "x2").alias("y")).distinct()
     done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    more = compared(docs, pairs.join(done, ["x", "y"], "left_anti")).where(linked())
+    more = compared(docs, rows, pairs.join(done, ["x", "y"], "left_anti")).where(linked())
     return first.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
@@ -234,7 +260,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(describe(docs, frequent_shingles(docs)), "shingle-sets")
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
-    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), F.max("n").alias("n"), F.max("k").alias("k"), first.alias("best")), "classes")
+    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), first.alias("best")), "classes")
     roots = materialize(components(links(docs, rows, classes)), "roots")
     rooted = classes.select("key", "x", "best").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
     best = rooted.groupBy("root").agg(F.min("best").alias("best"))
@@ -247,7 +273,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns: the one of smallest doc_id."""
-    from .dedup import drop_rows, numbered
-
     dropped = materialize(near_duplicates(docs).where("_row <> keep_row").select("_row"), "near-dropped")
     return drop_rows(numbered(docs), dropped, F.col("_row"), "_row").drop("_row")
