@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments.
 
 * Token scores: log-odds of toxic against clean labelled documents under an informative Dirichlet prior (the pooled
-  counts), for a word and for its first letters, where they are significant; all other tokens score a small negative drift.
+  counts), for a word and for its first letters, where they are significant and large; all other tokens score a small negative drift.
 * Segments: a linear scan finds all maximal-scoring segments of a text.
 * Calibration: Karlin-Altschul extreme values. lambda solves E[exp(lambda s)] = 1 over the tokens of clean documents, K
   fits how often their best segment exceeds a level. A segment's normalised score is lambda S - ln(K n); the positive
@@ -36,7 +36,10 @@ PREFIX = 4
 PRIOR, MARGIN, DRIFT, CEILING = 5.0, 1.0, -0.25, 8.0
 BIN, BINS = 0.5, 80
 #: Distinct words a worker remembers.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
+#: Least log-odds ratio of a token that scores. A large sample makes any slight difference significant, such as that of
+#: lengths; this keeps what counts alike at every size.
+EFFECT = 1.0
 STRIP = ".,;:!?|()[]\"'"
 
 
@@ -150,7 +153,7 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -
     """Each bucket's log-odds ratio under a Dirichlet prior in proportion to the pooled counts, where it is significant.
 
     Significant: the signed root of the deviance from equal rates is above what the largest of as many chance buckets
-    would reach; 0 elsewhere.
+    would reach, and the ratio above EFFECT; 0 elsewhere.
     """
     if not n_toxic or not n_clean:
         return np.zeros(len(toxic), np.float32)
@@ -162,7 +165,7 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -
     deviance = 2 * (part(toxic, expected) + part(clean, both - expected))
     least = math.sqrt(2 * math.log(max(2, int((toxic > 0).sum())))) + MARGIN
     score = odds(toxic, n_toxic) - odds(clean, n_clean)
-    return np.where((toxic > expected) & (deviance > least**2) & (score > 0), np.minimum(score, CEILING), 0).astype(np.float32)
+    return np.where((toxic > expected) & (deviance > least**2) & (score > EFFECT), np.minimum(score, CEILING), 0).astype(np.float32)
 
 
 def solve_rate(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -180,15 +183,26 @@ def solve_rate(scores: np.ndarray, weights: np.ndarray) -> float:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic fit of y on x with a slight ridge, by Newton steps."""
-    a, b = -3.0, 0.5
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a + b * x, -40, 40)))
+    """Weighted logistic fit of y on x with a slight ridge. Newton steps are halved until the loss falls: where the
+    kinds are separable, full steps overshoot and need not come back."""
+    at = np.array([-3.0, 0.5])
+
+    def loss(v: np.ndarray) -> float:
+        z = v[0] + v[1] * x
+        return float(weight @ (np.logaddexp(0, z) - y * z) + 0.005 * v @ v)
+
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(at[0] + at[1] * x, -40, 40)))
         w, g = weight * p * (1 - p) + 1e-9, weight * (p - y)
         h = np.array([[w.sum() + 0.01, w @ x], [w @ x, w @ (x * x) + 0.01]])
-        step = np.linalg.solve(h, [g.sum() + 0.01 * a, g @ x + 0.01 * b])
-        a, b = a - np.clip(step[0], -2, 2), b - np.clip(step[1], -2, 2)
-    return float(a), max(float(b), 0.0)
+        step = np.linalg.solve(h, [g.sum() + 0.01 * at[0], g @ x + 0.01 * at[1]])
+        size = 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        at = at - size * step
+        if np.abs(size * step).max() < 1e-6:
+            break
+    return float(at[0]), max(float(at[1]), 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:

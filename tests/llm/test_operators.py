@@ -342,6 +342,21 @@ def test_maximal_segments():
         assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+def test_logistic_separates():
+    """Kinds that are far apart, many rows: the curve crosses between them, whatever the weights."""
+    for most in (1, 100, 10_000):
+        x = np.array([0, 1, 2, 3, 4, 5, 6, 15, 17, 20, 30, 39], float)
+        y = (x > 10).astype(float)
+        a, b = toxicity.logistic(x, y, np.where(y > 0, 30.0, 1.0 * most))
+        assert 6 < -a / b < 15
+
+
+def test_slight_odds_do_not_score():
+    """A word a little commoner in toxic documents is significant in a large sample and still isn't toxic."""
+    assert toxicity.log_odds(np.array([19_000]), np.array([140_000]), 28_000, 244_000)[0] == 0
+    assert toxicity.log_odds(np.array([4_000, 24_000]), np.array([300, 240_000]), 28_000, 244_000)[0] > 1
+
+
 def test_toxicity_held_out(spark, tmp_path):
     rng = random.Random(4)
     rows, labels = [], []
