@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Pieces remembered by a worker before it starts afresh.
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 400_000
 #: A space beside other white space: a cut there could change how a run of white space is encoded.
 UNSAFE = re.compile(r"\s \s|\s $")
 SAFE_CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")

@@ -59,7 +59,7 @@ class Frequent:
     def add(self, keys: np.ndarray) -> None:
         self.held.append(keys)
         self.size += len(keys)
-        if self.size > 2_000_000:
+        if self.size > 400_000:
             self.merge()
 
     def merge(self) -> None:
