@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: ASCII white space; words are the maximal runs of anything else.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: its shuffle files go at the end, and workers get few rows at once, as texts and sets are long.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +36,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     of the write go when it ends, as nothing needs them once the table is there."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
