@@ -7,15 +7,17 @@
    Where two sets first share a shingle, at places i and j of their orders, at most min(n - i, m - j) shingles are
    common; a cell brings together only what this bound, and the sizes, allow.
 3. Second pivots: in each cell the set that comes to it earliest in its order, so the one with the fewest shingles of
-   its own, is the pivot. Sets are compared with the pivots of their cells; what is linked is connected (components).
-4. Cells join on: sets not yet connected meet if the triangle inequality allows it too: |d(x, p) - d(y, p)| <= 0.2.
-   In a cell only sets outside its pivot's component meet others, so a large component isn't paired with itself. Of
-   what remains first the windows are compared, which bounds the similarity, and then the whole sets.
-5. Components of all links, by stars (large and small in turn), in tables.
+   its own, is the pivot. Sets are compared with the pivots of their cells.
+4. Cells join on, by the triangle inequality: sets whose distances to a pivot add up to at most 0.2 are linked without
+   being compared; those of a cell with |d(x, p) - d(y, p)| above 0.2 aren't linked. Of what remains first the windows
+   are compared, which bounds the similarity, and then the whole sets. So every link between classes is found, within
+   a component too; a family of m near copies has up to m (m - 1) / 2 of them.
+5. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
+   in tables. A row's n_links are the other rows it is linked with, copies (linked with similarity 1) by their number.
 
 The order of shingles changes cost only: every choice of it gives the same links.
 
-Nulls: a null text, or one without words, has the empty set and is linked with nothing. A null doc_id is a document of
+Nulls: a null text, or one without words, has the empty set and is linked with nothing (n_links 0). A null doc_id is a document of
 its own; component_id is the smallest doc_id that isn't null. Repeated rows are linked as copies are. An empty table gives
 an empty result; extra columns are ignored. Texts of fewer than five words are one shingle.
 """
@@ -185,8 +187,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def compared(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of pairs (x, y) whose windows allow a link, with the exact sizes of intersection and union."""
-    pairs = materialize(pairs, "pairs")
+    """Those of pairs (x, y), a table, whose windows allow a link, with the exact sizes of intersection and union."""
     windows = members(rows.select(F.col("_row").alias("x"), "n", F.col("prefix").alias("shingles")), pairs)
     pairs = materialize(overlaps(pairs, windows).where(linked()).select("x", "y"), "bounded-pairs")
     return overlaps(pairs, materialize(sets_of(docs, pairs), "sets"))
@@ -217,7 +218,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def pivoted_cells(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """cells of one set of each class, without those that one set reaches alone, with the pivot p of each, its n and i.
+    """cells of one set of each class, without those that one set reaches alone, with the pivot p of each, its n and i, and the count c.
     A filter of fixed size keeps most of the lone cells from being shuffled a second time."""
     copies = rows.where("n > 0").select("_row", "key").join(classes.select("key", "x"), "key").where("_row <> x").select("_row")
     first = drop_rows(rows.select("_row", "n", "prefix").where("n > 0"), materialize(copies, "copies"), F.col("_row"), "_row")
@@ -225,50 +226,59 @@ def pivoted_cells(rows: DataFrame, classes: DataFrame) -> DataFrame:
     shared = materialize(entries.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "shared-cells")
     maybe = maybe_in(entries, bitmap(shared, F.col("h")), F.col("h"), "_maybe").where("_maybe").select("h", "x", "n", "i")
     entries = materialize(maybe.join(shared, "h"), "cells")
-    pivots = entries.groupBy("h").agg(F.min(F.struct("i", "x", "n")).alias("p"))
-    return entries.join(pivots.select("h", F.col("p.x").alias("p"), F.col("p.n").alias("pn"), F.col("p.i").alias("pi")), "h")
+    pivots = entries.groupBy("h").agg(F.min(F.struct("i", "x", "n")).alias("p"), F.count("*").alias("c"))
+    return entries.join(pivots.select("h", F.col("p.x").alias("p"), F.col("p.n").alias("pn"), F.col("p.i").alias("pi"), "c"), "h")
+
+
+def ordered(x: str, y: str) -> list:
+    return [F.greatest(x, y).alias("x"), F.least(x, y).alias("y")]
 
 
 def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b: links between classes (by their rows x), enough of them to connect what is connected."""
+    """a, b, sure: every link between classes (by their rows x, a > b), once; a sure one joins two sets linked with a
+    pivot, so the others connect what it connects."""
+    limit = 1 - PART / WHOLE
     entries = pivoted_cells(rows, classes)
     stars = entries.where((F.col("x") != F.col("p")) & allowed("n", "i", "pn", "pi")).select("x", F.col("p").alias("y")).distinct()
+    stars = materialize(stars, "pairs")
     near = materialize(compared(docs, rows, stars), "near")
-    first = near.where(linked()).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    label = components(first).select(F.col("node").alias("x"), F.col("root").alias("label"))
     distance = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
-    known = entries.select("h", "x", "n", "i", "p").join(label, "x", "left").withColumn("label", F.coalesce("label", "x")).join(distance, ["x", "p"], "left")
-    known = known.withColumn("d", F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.col("d")))
-    known = materialize(known, "labelled-cells")
-    mixed = known.groupBy("h").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max(F.expr("if(x = p, label, null)")).alias("main")).where("l0 <> l1")
-    known = materialize(known.join(mixed.select("h", "main"), "h").drop("p"), "mixed-cells")
-    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "label", "d")])
-    pairs = known.where("label <> main").join(other, "h").where(
-        (F.col("label") != F.col("label2"))
-        & ((F.col("label2") == F.col("main")) | (F.col("x") < F.col("x2")))
+    close = near.where(linked()).select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
+    sure = close.join(close.select("p", F.col("x").alias("x2"), F.col("d").alias("d2")), "p").where((F.col("x") > F.col("x2")) & (F.col("d") + F.col("d2") <= limit - 1e-9))
+    sure = materialize(sure.select("x", F.col("x2").alias("y")).distinct(), "sure-links")
+    known = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").select("h", "x", "n", "i", "d")
+    known = materialize(known, "cells-by-distance")
+    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "d")])
+    pairs = known.join(other, "h").where(
+        (F.col("x") > F.col("x2"))
         & allowed("n", "i", "n2", "i2")
-        & F.coalesce(F.abs(F.col("d") - F.col("d2")) <= 1 - PART / WHOLE + 1e-9, F.lit(True))
+        & F.coalesce((F.abs(F.col("d") - F.col("d2")) <= limit + 1e-9) & (F.col("d") + F.col("d2") > limit - 1e-9), F.lit(True))
     )
-    pairs = pairs.select(F.greatest("x", "x2").alias("x"), F.least("x", "x2").alias("y")).distinct()
-    done = near.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    more = compared(docs, rows, pairs.join(done, ["x", "y"], "left_anti")).where(linked())
-    return first.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    pairs = pairs.select("x", F.col("x2").alias("y")).distinct()
+    done = stars.select(*ordered("x", "y")).unionByName(sure)
+    more = compared(docs, rows, materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs"))
+    found = near.unionByName(more).where(linked()).select(*ordered("x", "y"), F.lit(False).alias("sure")).unionByName(sure.withColumn("sure", F.lit(True)))
+    return materialize(found.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("sure").alias("sure")), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: _row, doc_id, n_shingles, component_id, keep_row (of the document that stays)."""
+    """One row per document: _row, doc_id, n_shingles, component_id, keep_row (of the document that stays), n_links."""
     rows = materialize(describe(docs, frequent_shingles(docs)), "shingle-sets")
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
-    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), first.alias("best")), "classes")
-    roots = materialize(components(links(docs, rows, classes)), "roots")
-    rooted = classes.select("key", "x", "best").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
+    classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), first.alias("best"), F.count("*").alias("copies")), "classes")
+    found = links(docs, rows, classes)
+    roots = materialize(components(found.where("not sure").select("a", "b")), "roots")
+    both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(classes.select(F.col("x").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    rooted = classes.select("key", "x", "best", "copies").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
     best = rooted.groupBy("root").agg(F.min("best").alias("best"))
-    final = rooted.select("key", "root").join(best, "root").select("key", F.col("best.b").alias("component_id"), F.col("best.c").alias("keep_row"))
-    named = rows.select("_row", "doc_id", "n", "key").where("n > 0").join(final, "key")
-    empty = rows.where("n = 0").select("_row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.col("_row").alias("keep_row"))
-    both = named.select("_row", "doc_id", "n", "component_id", "keep_row").unionByName(empty)
-    return both.select("_row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "keep_row")
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    final = rooted.join(others, F.col("x") == F.col("a"), "left").select("key", "root", n_links).join(best, "root")
+    final = final.select("key", F.col("best.b").alias("component_id"), F.col("best.c").alias("keep_row"), "n_links")
+    named = rows.select("_row", "doc_id", "n", "key").where("n > 0").join(final, "key").drop("key")
+    empty = rows.where("n = 0").select("_row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.col("_row").alias("keep_row"), F.lit(0).cast("long").alias("n_links"))
+    return named.unionByName(empty).select("_row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "keep_row", "n_links")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

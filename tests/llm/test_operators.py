@@ -139,6 +139,40 @@ def test_jaccard_join_chains(spark, tmp_path):
     assert got == brute_components(rows)
 
 
+def brute_links(rows):
+    """(doc_id, other rows at a similarity of 0.8 or more) of each row."""
+    sets = []
+    for r in rows:
+        words = WORD.findall("".join(c.lower() if c.isascii() else c for c in r[1] or ""))
+        k = min(5, len(words))
+        sets.append({tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set())
+    near = lambda a, b: bool(a & b) and 100 * len(a & b) >= 80 * len(a | b)
+    return collections.Counter((r[0], sum(near(a, b) for j, b in enumerate(sets) if j != i)) for i, (r, a) in enumerate(zip(rows, sets, strict=True)))
+
+
+def test_jaccard_join_counts_links(docs, rows):
+    got = collections.Counter((x.doc_id, x.n_links) for x in neardup.near_duplicates(docs).collect())
+    assert got == brute_links(rows)
+
+
+def test_jaccard_join_links_within_families(spark, tmp_path):
+    """Families of differing near copies, at all distances around the limit, with copies among them: no link is left out."""
+    rng, rows = random.Random(8), []
+    for g in range(10):
+        words = [f"w{g}_{i}" for i in range(rng.choice([8, 40, 90, 150]))]
+        for _ in range(9):
+            near = list(words)
+            for _ in range(rng.randint(0, 3)):
+                near[rng.randrange(len(near))] = f"x{rng.random()}"
+            rows += [(len(rows), " ".join(near))] * rng.choice([1, 1, 1, 2])
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    want = brute_links(rows)
+    assert max(n for _, n in want) > 8
+    got = collections.Counter((x.doc_id, x.n_links) for x in neardup.near_duplicates(spark.read.parquet(path)).collect())
+    assert got == want
+
+
 def test_near_dedup_keeps_columns(docs, rows):
     got = neardup.near_dedup(docs)
     assert got.columns == docs.columns
