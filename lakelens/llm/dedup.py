@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, bitmap, maybe_in
+from .common import WHITE, bitmap, materialize, maybe_in
 
 PREFIX = 256
 
@@ -27,13 +27,14 @@ def text_sha256(text: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Rows with their place in the scan, a key that even repeated rows don't share."""
-    return docs.select("*", F.monotonically_increasing_id().alias("_row"))
+    """A table of the rows with their place in the scan, a key that even repeated rows don't share. It is written once
+    and read by every later pass, as a second scan may be split differently and number its rows otherwise."""
+    return materialize(docs.select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
 
 
 def full_hashes(docs: DataFrame) -> DataFrame:
-    """One row per document: _row, doc_id, n_chars, full_hash (null where length or prefix is unique)."""
-    rows = numbered(docs.select("doc_id", "text")).select("_row", "doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), normalised(F.col("text")).alias("_norm"))
+    """One row per document of a numbered table: _row, doc_id, n_chars, full_hash (null where length or prefix is unique)."""
+    rows = docs.select("_row", "doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), normalised(F.col("text")).alias("_norm"))
     rows = rows.withColumn("_length", F.length("_norm"))
     repeated = rows.groupBy("_length").count().where("count > 1")
     rows = maybe_in(rows, bitmap(repeated, F.col("_length")), F.col("_length"), "_same_length")
@@ -46,8 +47,12 @@ def full_hashes(docs: DataFrame) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
-    """full_hashes with keep_id, group_size, kept. Groups are summed before the shuffle, and the join that brings the
-    result back to the rows is one that Spark splits where a group is large."""
+    return groups_of(numbered(docs.select("doc_id", "text")))
+
+
+def groups_of(docs: DataFrame) -> DataFrame:
+    """full_hashes of a numbered table with keep_id, group_size, kept. Groups are summed before the shuffle, and the join
+    that brings the result back to the rows is one that Spark splits where a group is large."""
     rows = full_hashes(docs)
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col("_row").alias("d")))
     groups = rows.where("full_hash is not null").groupBy("full_hash").agg(best.alias("_best"), F.count("*").alias("_size")).where("_size > 1")
@@ -72,5 +77,6 @@ def drop_rows(docs: DataFrame, dropped: DataFrame, key: Column, name: str) -> Da
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    dropped = exact_groups(docs).where("not kept").select("_row")
-    return drop_rows(numbered(docs), dropped, F.col("_row"), "_row").drop("_row")
+    rows = numbered(docs)
+    dropped = groups_of(rows).where("not kept").select("_row")
+    return drop_rows(rows, dropped, F.col("_row"), "_row").drop("_row")

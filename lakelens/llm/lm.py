@@ -1,16 +1,17 @@
 """Language-model scores by stupid backoff over the corpus itself, each document scored without its own counts.
 
-* Blocks: a block is one partition of the scan. It counts its n-grams (all orders up to ORDER) and sends each distinct
+* Blocks: a block is one partition of the scan; the rows are written once with their block's number, and both passes
+  read that table, so it doesn't matter how either is split. A block counts its n-grams (all orders up to ORDER) and sends each distinct
   one once, packed by hash bucket. So a frequent n-gram costs a row per block, never one per occurrence.
 * Buckets: n-gram counts are summed in tables partitioned by hash, joined to the blocks' n-grams, and what occurs twice
   or more goes back to the blocks that hold it (the rest is known to occur in one place only).
-* Scores: the scan is read again; a document's n-grams look up their totals in its block's table, its own counts are
+* Scores: the rows are read again; a document's n-grams look up their totals in its block's table, its own counts are
   subtracted, and the logarithms are summed per document.
 
 S(w | context) = count(context w) / count(context) if that n-gram occurs elsewhere, else 0.4 S(w | shorter context); a
 single word's is its share of the other documents' words, half a count if it is new.
 
-docs must be a scan: partitions are matched by number between the two reads. Nulls: a null text is empty; a text without
+Nulls: a null text is empty; a text without
 words has log_score 0 and a null mean. A null doc_id is scored as well. Repeated rows are separate documents, so they
 support one another. An empty table gives an empty result; extra columns are ignored.
 """
@@ -22,11 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, shared_path
+from .common import materialize, partitions, shared_path
 from .hashing import ngrams, word_hashes
 
 ORDER, BACKOFF = 2, 0.4
@@ -45,10 +45,10 @@ def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -
     """doc_id, n_words, log_score (sum of natural logarithms), mean_log_score."""
     spark = docs.sparkSession
     n_buckets = buckets or partitions(spark)
-    rows = docs.select("doc_id", "text")
+    rows = materialize(docs.select("doc_id", "text", F.spark_partition_id().cast("long").alias("block")), "blocks")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, size = TaskContext.get().partitionId(), [], 0
+        block, held, size = None, [], 0
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate([x for x, _ in held]), return_counts=True)
@@ -66,14 +66,15 @@ def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()), pack(keys, "<u8"), pack(counts, "<u4" if words < 1 << 32 else "<u8"), pa.array(np.full(len(full), 4 if words < 1 << 32 else 8), pa.int32())], ["bucket", "block", "keys", "counts", "width"])
 
         for batch in batches:
-            for text in batch.column(1):
+            for text, of in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if held and (of != block or size >= FLUSH):
+                    yield flush()
+                    held, size = [], 0
+                block = of
                 grams = orders(text.as_py(), order)
                 for n, x in enumerate(grams):
                     held.append((x, len(x) if n == 0 else 0))
                     size += len(x)
-                if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
         if held:
             yield flush()
 
@@ -96,7 +97,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -
     totals.repartition(n_buckets, "block").write.partitionBy("block").parquet(path)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = block_totals(path, TaskContext.get().partitionId())
+        block, keys, sums = None, None, None
 
         def find(grams: np.ndarray) -> np.ndarray:
             """Counts in the other documents."""
@@ -106,7 +107,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -
 
         for batch in batches:
             n_words, scores = [], []
-            for text in batch.column(1):
+            for text, of in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if of != block:
+                    block, (keys, sums) = of, block_totals(path, of)
                 grams = orders(text.as_py(), order)
                 n = len(grams[0])
                 n_words.append(n)

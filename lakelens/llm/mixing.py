@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD
+from .dedup import numbered
 
 MOST = 3
 BINS = 4096
@@ -62,8 +63,12 @@ def targets(totals: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """One row per document: _row, doc_id, source, size, source_size, target, copies, taken."""
+    return mix_numbered(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", "text"), seed)
+
+
+def mix_numbered(docs: DataFrame, seed: int = 0) -> DataFrame:
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", "source",
+        "_row", "doc_id", "source",
         size(F.col("text")).alias("size"),
         (-F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))).alias("key"),
     )
@@ -99,7 +104,7 @@ def _take(rows: DataFrame) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns."""
-    copies = mix(docs, seed).where("copies > 0").select(F.col("_row").alias("_at"), "copies")
-    numbered = docs.select("*", F.monotonically_increasing_id().alias("_row"))
-    joined = numbered.join(copies, F.col("_row") == F.col("_at"))
+    rows = numbered(docs)
+    copies = mix_numbered(rows, seed).where("copies > 0").select(F.col("_row").alias("_at"), "copies")
+    joined = rows.join(copies, F.col("_row") == F.col("_at"))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[joined[c] for c in docs.columns])

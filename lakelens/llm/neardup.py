@@ -107,7 +107,7 @@ def ordered_prefix(found: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> np.
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """_row (place in the scan), doc_id, n, key (of the set), prefix (the shingles of its window)."""
+    """Of a numbered table: _row, doc_id, n, key (of the set), prefix (the shingles of its window)."""
     sort = np.argsort(frequent)
     shared = docs.sparkSession.sparkContext.broadcast((frequent[sort], sort))
 
@@ -122,7 +122,7 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 prefix.append(ordered_prefix(found, keys, rank).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "prefix"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    rows = docs.select("_row", "doc_id", "text")
     return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary")
 
 
@@ -161,7 +161,7 @@ def sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             sets = [shingle_set(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], ["x", "n", "shingles"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("x"), "text")
+    rows = docs.select(F.col("_row").alias("x"), "text")
     return members(rows, pairs).mapInArrow(run, "x long, n int, shingles binary")
 
 
@@ -263,6 +263,10 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: _row, doc_id, n_shingles, component_id, keep_row (of the document that stays), n_links."""
+    return near_numbered(numbered(docs.select("doc_id", "text")))
+
+
+def near_numbered(docs: DataFrame) -> DataFrame:
     rows = materialize(describe(docs, frequent_shingles(docs)), "shingle-sets")
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
@@ -283,5 +287,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns: the one of smallest doc_id."""
-    dropped = materialize(near_duplicates(docs).where("_row <> keep_row").select("_row"), "near-dropped")
-    return drop_rows(numbered(docs), dropped, F.col("_row"), "_row").drop("_row")
+    rows = numbered(docs)
+    dropped = materialize(near_numbered(rows).where("_row <> keep_row").select("_row"), "near-dropped")
+    return drop_rows(rows, dropped, F.col("_row"), "_row").drop("_row")

@@ -33,9 +33,9 @@ def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    groups = dedup.exact_groups(docs)
-    digest = dedup.numbered(docs.select("text")).select(F.col("_row").alias("_at"), dedup.text_sha256(F.col("text")).alias("text_sha256"))
+    docs = dedup.numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    groups = dedup.groups_of(docs)
+    digest = docs.select(F.col("_row").alias("_at"), dedup.text_sha256(F.col("text")).alias("text_sha256"))
     # only rows whose full hash the operator didn't need get their digest here
     joined = groups.join(digest, F.col("_row") == F.col("_at"))
     return joined.select("doc_id", "keep_id", "group_size", "kept", F.coalesce("full_hash", "text_sha256").alias("text_sha256"))

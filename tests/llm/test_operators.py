@@ -297,6 +297,36 @@ def test_lm_scores(docs, rows):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-5)
 
 
+def test_rows_match_when_scans_are_split_differently(spark, docs, rows, monkeypatch):
+    """Splits change after every table written, as when executors come or go: what later passes read is still matched."""
+    one = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    scores = lambda got: sorted((x.doc_id is None, x.doc_id or 0, x.n_words, round(x.log_score, 6)) for x in got.collect())
+    texts = lambda got: collections.Counter((x.doc_id, x.text) for x in got.collect())
+    want_scores, want_near, want_mix = scores(lm.lm_scores(docs)), texts(neardup.near_dedup(docs)), texts(mixing.mixed_rows(docs))
+    writer, whole = type(docs.write), []
+    write = writer.parquet
+
+    def parquet(self, *args, **kwargs):
+        write(self, *args, **kwargs)
+        for k, v in one.items():
+            spark.conf.unset(k) if whole else spark.conf.set(k, v)
+        whole.clear() if whole else whole.append(1)
+
+    before = docs.rdd.getNumPartitions()
+    monkeypatch.setattr(writer, "parquet", parquet)
+    again = lambda: spark.read.parquet(*docs.inputFiles())
+    try:
+        assert scores(lm.lm_scores(again())) == want_scores
+        assert texts(mixing.mixed_rows(again())) == want_mix
+        assert texts(neardup.near_dedup(again())) == want_near
+        for k, v in one.items():
+            spark.conf.set(k, v)
+        assert again().rdd.getNumPartitions() < before
+    finally:
+        for k in one:
+            spark.conf.unset(k)
+
+
 def brute_stats(text):
     words, lines = WORD.findall(text or ""), (text or "").split("\n")
     windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
