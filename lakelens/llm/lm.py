@@ -30,6 +30,8 @@ from .common import materialize, partitions, shared_path
 from .hashing import ngrams, word_hashes
 
 ORDER, BACKOFF = 2, 0.4
+#: The order op4 runs with: words, bigrams and trigrams.
+TRIGRAMS = 3
 #: n-grams held before a block sends what it has.
 FLUSH = 3_000_000
 #: The key under which words are counted.

@@ -25,7 +25,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.lm_scores(table(spark, sf_dir, "documents"))
+    return lm.lm_scores(table(spark, sf_dir, "documents"), lm.TRIGRAMS)
 
 
 def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

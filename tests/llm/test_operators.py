@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lakelens.llm import chat, dedup, encoding, lm, mixing, neardup, packing, rules, tokenstore, toxicity, weaklabels
+from lakelens.llm import chat, dedup, encoding, lm, mixing, neardup, packing, queries, rules, tokenstore, toxicity, weaklabels
 from lakelens.llm.common import shared_path
 from lakelens.llm.textstats import text_stats
 
@@ -297,6 +297,46 @@ def test_lm_scores(docs, rows):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-5)
 
 
+def brute_lm(rows, order):
+    """(doc_id or -1, n_words, log_score) by stupid backoff over tuples of words, the row's own counts left out."""
+    texts = [WORD.findall("".join(c.lower() if c.isascii() else c for c in r[1] or "")) for r in rows]
+    grams = lambda t: collections.Counter(tuple(t[i : i + n]) for n in range(1, order + 1) for i in range(len(t) - n + 1))
+    everything = sum((grams(t) for t in texts), collections.Counter())
+    total, want = sum(map(len, texts)), []
+    for r, t in zip(rows, texts, strict=True):
+        own = grams(t)
+        others = lambda g: everything[g] - own[g]  # noqa: B023, E731
+        score = 0.0
+        for i, w in enumerate(t):
+            for n in range(min(order, i + 1), 0, -1):
+                g = tuple(t[i - n + 1 : i + 1])
+                if n == 1:
+                    score += math.log(max(others((w,)), 0.5) / max(1, total - len(t)))
+                elif others(g):
+                    score += math.log(others(g) / others(g[:-1]))
+                    break
+                else:
+                    score += math.log(0.4)
+        want.append((-1 if r[0] is None else r[0], len(t), score))
+    return sorted(want)
+
+
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_lm_scores_of_other_orders(docs, rows, order):
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.log_score) for x in lm.lm_scores(docs, order).collect())
+    for a, b in zip(got, brute_lm(rows, order), strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-5)
+
+
+def test_op4_scores_trigrams(spark, docs, rows, tmp_path):
+    """The registered query: longer contexts than the word before count."""
+    (tmp_path / "documents.parquet").symlink_to(docs.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 1)[0])
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.log_score) for x in queries.op4_lm_scores(spark, str(tmp_path)).collect())
+    assert any(abs(a[2] - b[2]) > 0.1 for a, b in zip(brute_lm(rows, 2), brute_lm(rows, 3), strict=True))
+    for a, b in zip(got, brute_lm(rows, 3), strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-5)
+
+
 def test_rows_match_when_scans_are_split_differently(spark, docs, rows, monkeypatch):
     """Splits change after every table written, as when executors come or go: what later passes read is still matched."""
     one = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
