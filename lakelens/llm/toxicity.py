@@ -20,15 +20,17 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import ngrams, word_hashes
+from .neardup import PART, WHOLE, shingle_set
 
 FEATURES_LOG2 = 20
 SAMPLE_ROWS = 40_000
@@ -122,12 +124,28 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
 
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least = [min(ngrams(word_hashes(x.as_py()), 5).view(np.int64).tolist(), default=0) for x in batch.column(1)]
+            least = [min(shingle_set(x.as_py()).view(np.int64).tolist(), default=0) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], [*batch.schema.names, "family"])
 
-    # Near copies say the same thing many times: of those with a label in common, one row stays (by their least shingle).
+    # Near copies say the same thing many times: of those with a label and their least shingle in common, one row stays.
     rows = found.mapInArrow(family, "doc_id long, text string, toxic int, fold long, family long")
-    return rows.groupBy("family", "toxic").agg(F.min(F.struct("doc_id", "text", "fold")).alias("r")).select("r.text", "toxic", "r.fold")
+    return rows.groupBy("family", "toxic").applyInPandas(without_near_copies, "text string, toxic int, fold long")
+
+
+def without_near_copies(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows whose shingle set has a similarity under 0.8 to each one that stays, by doc_id. Kept sets are found by shingle."""
+    rows = rows.sort_values(["doc_id", "text"], kind="stable")
+    sizes, holders, stay = [], {}, []
+    for text in rows["text"]:
+        found = shingle_set(text).tolist()
+        both = Counter(k for h in found for k in holders.get(h, ()))
+        copy = any(WHOLE * n >= PART * (len(found) + sizes[k] - n) for k, n in both.items()) if found else 0 in sizes
+        stay.append(not copy)
+        if not copy:
+            for h in found:
+                holders.setdefault(h, []).append(len(sizes))
+            sizes.append(len(found))
+    return rows.loc[stay, ["text", "toxic", "fold"]]
 
 
 def count_features(rows: DataFrame) -> DataFrame:

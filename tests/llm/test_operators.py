@@ -461,6 +461,16 @@ def test_slight_odds_do_not_score():
     assert toxicity.log_odds(np.array([4_000, 24_000]), np.array([300, 240_000]), 28_000, 244_000)[0] > 1
 
 
+def test_toxicity_sample_drops_near_copies_only(spark):
+    """Short texts and texts that share a passage aren't near copies; copies are."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:62]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"bad w{i}" for i in range(20)] + [f"{passage} " + " ".join(f"t{i}_{j}" for j in range(40)) for i in range(40)] + ["the same text twice over again"] * 2
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 1) for i in ids], "doc_id long, quality int, toxic int")
+    assert sorted(x.text for x in toxicity.sample(docs, labels).collect()) == sorted(set(texts))
+
+
 def test_toxicity_held_out(spark, tmp_path):
     rng = random.Random(4)
     rows, labels = [], []
