@@ -145,14 +145,17 @@ def occurrences(ids: np.ndarray, nulls: np.ndarray) -> np.ndarray:
     return at - np.maximum.accumulate(np.where(new, at, 0)) + nulls * NULL_MARK
 
 
-def write_store(docs: DataFrame, root: str, tokenizer: tuple[str, bool] | None = None, width: int = 2, shards: int | None = None) -> DataFrame:
-    """Writes the store and returns its manifest, one row per shard: shard, n_docs, n_tokens.
+def write_store(docs: DataFrame, root: str, tokenizer: tuple[str, bool] | None = None, width: int | None = None, shards: int | None = None) -> DataFrame:
+    """Writes the store and returns its manifest, one row per shard: shard, n_docs, n_tokens, width.
 
     Documents are dealt by ranges of (doc_id, hash of the text), so even a repeated doc_id spreads over shards; a shard
     streams through its task in Arrow batches, and only keys and offsets of its documents are held.
     """
     spark = docs.sparkSession
     path, drops = tokenizer or word_bpe()
+    if width is None:
+        ids = encoder(path, drops).tokenizer.get_vocab().values()
+        width = 2 if max(ids, default=0) < 1 << 16 else 4
     store, at = files(root)
     store.create_dir(at, recursive=True)
 
@@ -166,7 +169,10 @@ def write_store(docs: DataFrame, root: str, tokenizer: tuple[str, bool] | None =
                 ids.append(batch.doc_id.fillna(0).to_numpy(np.int64))
                 nulls.append(batch.missing.to_numpy(bool))
                 for text in batch.text:
-                    got = np.frombuffer(encode(text), "<u4").astype(f"<u{width}").tobytes()
+                    got = np.frombuffer(encode(text), "<u4")
+                    if len(got) and int(got.max()) >= 1 << 8 * width:
+                        raise ValueError(f"token id {got.max()} does not fit in {width} bytes")
+                    got = got.astype(f"<u{width}").tobytes()
                     out.write(got)
                     out.write(end)
                     lengths.append(len(got) // width + 1)
@@ -182,18 +188,18 @@ def write_store(docs: DataFrame, root: str, tokenizer: tuple[str, bool] | None =
         np.savez(packed, fingerprints=prints, offsets=offsets, lengths=counts, sizes=np.array([len(x) for x in index.levels], np.int64), bits=np.packbits(np.concatenate([np.zeros(0, bool), *index.levels])))
         put(root, f"shard-{shard:06d}.mph", packed.getvalue())
         put(root, f"shard-{shard:06d}.keys", np.stack([keys, seen]).astype("<i8").tobytes())
-        yield pd.DataFrame({"shard": [shard], "n_docs": [len(keys)], "n_tokens": [int(size.sum())]})
+        yield pd.DataFrame({"shard": [shard], "n_docs": [len(keys)], "n_tokens": [int(size.sum())], "width": [width]})
 
     h = F.xxhash64("text")
     dealt = single_pass(docs, ["doc_id", "text"]).withColumn("missing", F.col("doc_id").isNull())
     dealt = dealt.repartitionByRange(shards or partitions(spark), F.col("doc_id").asc_nulls_first(), h)
-    manifest = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), h, "text").mapInPandas(write, "shard long, n_docs long, n_tokens long")
+    manifest = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), h, "text").mapInPandas(write, "shard long, n_docs long, n_tokens long, width int")
     kept = shared_path(spark, "manifest")
     manifest.write.parquet(kept)
     return spark.read.schema(manifest.schema).parquet(kept)
 
 
-def scan_store(spark: SparkSession, root: str, manifest: DataFrame, width: int = 2) -> DataFrame:
+def scan_store(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
     """Reads every key through the index: doc_id, occurrence, start (ids of all documents before it), n_tokens, ids_crc32.
 
     The manifest has one row per shard; it is what the driver sums, never documents.
@@ -201,12 +207,13 @@ def scan_store(spark: SparkSession, root: str, manifest: DataFrame, width: int =
     rows, base = [], 0
     for x in sorted(manifest.collect(), key=lambda r: r.shard):
         if x.n_docs:
-            rows.append((x.shard, base))
+            rows.append((x.shard, base, x.width))
         base += x.n_tokens
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for x in batch.itertuples():
+                width = x.width
                 shard = Shard(root, x.shard, width)
                 ids, seen = shard.keys()
                 offsets, lengths = shard.find(ids, seen)
@@ -222,5 +229,5 @@ def scan_store(spark: SparkSession, root: str, manifest: DataFrame, width: int =
                     doc = pd.Series(ids[z], dtype="Int64").mask(seen[z] >= NULL_MARK)
                     yield pd.DataFrame({"doc_id": doc, "start": x.base + offsets[z], "n_tokens": lengths[z], "ids_crc32": crcs[z], "occurrence": seen[z] % NULL_MARK})
 
-    listed = spark.createDataFrame(rows, "shard long, base long").repartition(max(1, len(rows)))
+    listed = spark.createDataFrame(rows, "shard long, base long, width int").repartition(max(1, len(rows)))
     return listed.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long, occurrence long")

@@ -87,6 +87,21 @@ def test_token_store(spark, docs, rows):
     assert sorted(shard.hash.slots(keys, seen)) == list(range(len(keys)))  # minimal and perfect
 
 
+def test_token_store_of_a_large_vocabulary(spark, tmp_path):
+    """Ids beyond two bytes are kept whole, and refused where two bytes are asked for."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    made = Tokenizer(models.WordLevel({f"w{i}": i for i in range(70_000)}, unk_token="w0"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(path := str(tmp_path / "words.json"))
+    docs = spark.createDataFrame([(1, "w69999 w5"), (2, "w65536"), (3, None)], "doc_id long, text string")
+    root = shared_path(spark, "store")
+    got = tokenstore.scan_store(spark, root, tokenstore.write_store(docs, root, (path, True))).collect()
+    assert {x.doc_id: x.ids_crc32 for x in got} == {1: crc([69999, 5, 1]), 2: crc([65536, 1]), 3: crc([1])}
+    with pytest.raises(Exception, match="does not fit"):
+        tokenstore.write_store(docs, shared_path(spark, "store"), (path, True), width=2)
+
+
 def test_token_store_empty(spark, empty):
     root = shared_path(spark, "store")
     assert tokenstore.scan_store(spark, root, tokenstore.write_store(empty, root)).count() == 0
