@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -20,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    """The folder that the driver and all executors share. Where the session names none, a local master gets a temporary
+    one, as in tests; on a cluster it would be another one on every machine, so there it is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lakelens-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster") and not named:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="lakelens-"))
     return sc.getCheckpointDir()
 
 
@@ -44,7 +49,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.shared_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize wrote, once all that reads them is written itself."""
+    for x in tables:
+        path = x.sparkSession._jvm.org.apache.hadoop.fs.Path(x.shared_path)
+        path.getFileSystem(x.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered(docs: DataFrame, **columns: Column) -> DataFrame:
+    """A table of the rows with their place in the scan, a key that even repeated rows don't share: _row, the given columns
+    and rec, a struct of all columns of docs, so that no name of theirs can clash. It is written once and read by every
+    later pass, as a second scan may be split differently and number its rows otherwise."""
+    return materialize(docs.select(F.monotonically_increasing_id().alias("_row"), *[v.alias(k) for k, v in columns.items()], F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rec")), "numbered")
 
 
 def partitions(spark: SparkSession) -> int:
@@ -56,10 +77,15 @@ def single_pass(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*[docs[c] for c in columns])
 
 
-# Row filters of fixed size. A table of at most 2**WORDS_LOG2 rows (key, bits) marks hashed keys; it is broadcast, as
-# its size doesn't depend on the data. A set bit says "maybe": what passes is then decided exactly, so a filter that
-# fills up costs time and never a wrong row.
-WORDS_LOG2 = 16
+# Row filters. A table of at most 2**MOST_LOG2 rows (key, bits) marks hashed keys; it is broadcast, as its size is bounded
+# whatever the data: it has eight bits for each key up to that bound. A set bit says "maybe": what passes is then decided
+# exactly, so a filter that fills up costs time and never a wrong row.
+WORDS_LOG2, MOST_LOG2 = 16, 19
+
+
+def words_for(keys: int) -> int:
+    """The size of a filter for so many keys."""
+    return min(MOST_LOG2, max(10, math.ceil(math.log2(max(1, keys / 8)))))
 
 
 def bitmap(keys: DataFrame, key: Column, words_log2: int = WORDS_LOG2) -> DataFrame:
@@ -72,8 +98,16 @@ def bitmap(keys: DataFrame, key: Column, words_log2: int = WORDS_LOG2) -> DataFr
 
 
 def maybe_in(rows: DataFrame, marks: DataFrame, key: Column, name: str, words_log2: int = WORDS_LOG2) -> DataFrame:
-    """rows with a boolean column: false if key is certainly not among the marked ones."""
+    """rows, of columns named here, with a boolean column: false if key is certainly not among the marked ones."""
     h = F.xxhash64(key)
     at = F.shiftrightunsigned(h, 58).cast("int")
     keyed = rows.withColumn("_word", F.pmod(h, F.lit(1 << words_log2))).withColumn("_at", at)
     return keyed.join(F.broadcast(marks), "_word", "left").withColumn(name, F.expr("coalesce(shiftright(_bits, _at) & 1, 0) = 1")).drop("_word", "_bits", "_at")
+
+
+def drop_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """rows of a numbered table without those whose _row is in dropped, a table. Only rows that a filter can't clear are shuffled."""
+    size = words_for(dropped.count())
+    marked = maybe_in(rows, bitmap(dropped, F.col("_row"), size), F.col("_row"), "_maybe", size)
+    unsure = marked.where("_maybe").join(dropped.select("_row"), "_row", "left_anti")
+    return marked.where("not _maybe").unionByName(unsure).drop("_maybe")

@@ -1,11 +1,13 @@
 """Exact dedup by progressive refinement: equal lengths, then equal prefix hashes, then full hashes of what is left.
 
-Each round marks the keys that more than one row has in a filter of fixed size; the next round reads on only for rows
-the filter lets pass. A false pass costs one more hash, never a wrong group: groups are formed by the full hash alone.
+One pass writes the rows with their length and prefix hash. Each round marks the keys that more than one row has in a
+filter of bounded size, reading those small columns alone; whole texts are read again only for rows that both filters
+let pass. A false pass costs one more hash, never a wrong group: groups are formed by the full hash alone.
 
 Texts are equal when identical without ASCII white space. The row with most code points stays, then the smallest
 doc_id (null last), then the first in the scan, so of rows repeated as a whole one stays. A null text is empty; empty
-texts are equal to each other. An empty table gives an empty result; extra columns are ignored.
+texts are equal to each other. An empty table gives an empty result. Columns of any other name are kept by exact_dedup
+and ignored by exact_groups. Very long texts are hashed whole, one row at a time.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, bitmap, materialize, maybe_in
+from .common import WHITE, bitmap, drop_rows, materialize, maybe_in, numbered
 
 PREFIX = 256
 
@@ -26,57 +28,51 @@ def text_sha256(text: Column) -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """A table of the rows with their place in the scan, a key that even repeated rows don't share. It is written once
-    and read by every later pass, as a second scan may be split differently and number its rows otherwise."""
-    return materialize(docs.select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
+def measured(docs: DataFrame) -> DataFrame:
+    """The rows, numbered, with the code points of each text and the length and prefix hash of the text without white space."""
+    norm = normalised(F.col("text"))
+    length = F.length(norm)
+    return numbered(docs, n_chars=F.length(F.coalesce("text", F.lit(""))).cast("long"), length=length, prefix=F.xxhash64(length, F.substring(norm, 1, PREFIX)))
 
 
-def full_hashes(docs: DataFrame) -> DataFrame:
-    """One row per document of a numbered table: _row, doc_id, n_chars, full_hash (null where length or prefix is unique)."""
-    rows = docs.select("_row", "doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), normalised(F.col("text")).alias("_norm"))
-    rows = rows.withColumn("_length", F.length("_norm"))
-    repeated = rows.groupBy("_length").count().where("count > 1")
-    rows = maybe_in(rows, bitmap(repeated, F.col("_length")), F.col("_length"), "_same_length")
-    prefix = F.when(F.col("_same_length"), F.xxhash64("_length", F.substring("_norm", 1, PREFIX)))
-    rows = rows.withColumn("_prefix", prefix)
-    repeated = rows.where("_prefix is not null").groupBy("_prefix").count().where("count > 1")
-    rows = maybe_in(rows, bitmap(repeated, F.col("_prefix")), F.col("_prefix"), "_same_prefix")
-    left = F.col("_same_prefix") & F.col("_prefix").isNotNull()
-    return rows.select("_row", "doc_id", "n_chars", F.when(left, F.sha2(F.col("_norm").cast("binary"), 256)).alias("full_hash"))
+def full_hashes(rows: DataFrame, digest_all: bool = False) -> DataFrame:
+    """One row per document of measured rows: _row, doc_id, n_chars, full_hash (null where length or prefix is unique) and,
+    if digest_all, digest: the full hash of rows that need none."""
+    small = rows.select("_row", "length", "prefix")
+    lengths = bitmap(rows.groupBy("length").count().where("count > 1"), F.col("length"))
+    same = maybe_in(small, lengths, F.col("length"), "_same").where("_same").groupBy("prefix").count().where("count > 1")
+    prefixes = bitmap(same, F.col("prefix"))
+    wide = rows.select("_row", F.col("rec.doc_id").alias("doc_id"), "n_chars", "length", "prefix", F.col("rec.text").alias("text"))
+    left = maybe_in(maybe_in(wide, lengths, F.col("length"), "_same_length"), prefixes, F.col("prefix"), "_same_prefix")
+    needed = F.col("_same_length") & F.col("_same_prefix")
+    full = text_sha256(F.col("text"))
+    return left.select("_row", "doc_id", "n_chars", F.when(needed, full).alias("full_hash"), *[F.when(~needed, full).alias("digest")] * digest_all)
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
-    return groups_of(numbered(docs.select("doc_id", "text")))
+    return groups_of(measured(docs.select("doc_id", "text")))
 
 
-def groups_of(docs: DataFrame) -> DataFrame:
-    """full_hashes of a numbered table with keep_id, group_size, kept. Groups are summed before the shuffle, and the join
+def groups_of(rows: DataFrame, digest_all: bool = False) -> DataFrame:
+    """full_hashes of measured rows with keep_id, group_size, kept. Groups are summed before the shuffle, and the join
     that brings the result back to the rows is one that Spark splits where a group is large."""
-    rows = full_hashes(docs)
+    hashed = materialize(full_hashes(rows, digest_all), "full-hashes")
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"), F.col("_row").alias("d")))
-    groups = rows.where("full_hash is not null").groupBy("full_hash").agg(best.alias("_best"), F.count("*").alias("_size")).where("_size > 1")
+    groups = hashed.where("full_hash is not null").groupBy("full_hash").agg(best.alias("_best"), F.count("*").alias("_size")).where("_size > 1")
     # rows without a hash have keys of their own, so that they spread over the tasks
     groups = groups.withColumnRenamed("full_hash", "_key")
-    joined = rows.withColumn("_key", F.coalesce("full_hash", F.col("_row").cast("string"))).join(groups, "_key", "left")
+    joined = hashed.withColumn("_key", F.coalesce("full_hash", F.col("_row").cast("string"))).join(groups, "_key", "left")
     alone = F.col("_size").isNull()
     return joined.select(
-        "_row", "doc_id", "full_hash",
+        "_row", "doc_id", "full_hash", *["digest"] * digest_all,
         F.when(alone, F.col("doc_id")).otherwise(F.col("_best.c")).alias("keep_id"),
         F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("_best.d") == F.col("_row"))).alias("kept"),
     )
 
 
-def drop_rows(docs: DataFrame, dropped: DataFrame, key: Column, name: str) -> DataFrame:
-    """docs without the rows whose key is in dropped[name]. Only rows that a fixed-size filter can't clear are shuffled."""
-    marked = maybe_in(docs, bitmap(dropped, F.col(name)), key, "_maybe")
-    unsure = marked.where("_maybe").withColumn("_key", key).join(dropped.select(F.col(name).alias("_key")), "_key", "left_anti")
-    return marked.where("not _maybe").drop("_maybe").unionByName(unsure.drop("_maybe", "_key"))
-
-
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    rows = numbered(docs)
-    dropped = groups_of(rows).where("not kept").select("_row")
-    return drop_rows(rows, dropped, F.col("_row"), "_row").drop("_row")
+    rows = measured(docs)
+    dropped = materialize(groups_of(rows).where("not kept").select("_row"), "copies")
+    return drop_rows(rows.select("_row", "rec"), dropped).select("rec.*")

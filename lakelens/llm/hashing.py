@@ -7,14 +7,17 @@ import xxhash
 
 from .tokenstore import mix
 
-MEMO_WORDS = 200_000
+#: Words that a worker remembers, and the bytes of the longest of them.
+MEMO_WORDS, MEMO_BYTES = 100_000, 64
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = got = xxhash.xxh64_intdigest(word)
+        got = xxhash.xxh64_intdigest(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = got
         return got
 
 

@@ -7,8 +7,8 @@ The prefix sum never sorts a source in one task: keys fall into BINS bins, sizes
 shuffle, and only the one bin in which a source's budget ends is sorted row by row.
 
 Nulls: a null text has size 0; a null source is a source of its own, last in order; a null doc_id has a key as well.
-Repeated rows are separate documents with equal keys. An empty table gives an empty result; extra columns are ignored.
-A source of size 0 has target 0.
+Repeated rows are separate documents with equal keys. An empty table gives an empty result; extra columns, of whatever
+name, are ignored by mix and kept by mixed_rows. A very long text counts whole. A source of size 0 has target 0.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
-from .dedup import numbered
+from .common import WORD, materialize, numbered
 
 MOST = 3
 BINS = 4096
@@ -78,8 +77,6 @@ def mix_numbered(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def _take(rows: DataFrame) -> DataFrame:
-    from .common import materialize
-
     rows = materialize(rows, "mix-keys")
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
@@ -105,6 +102,7 @@ def _take(rows: DataFrame) -> DataFrame:
 def mixed_rows(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns."""
     rows = numbered(docs)
-    copies = mix_numbered(rows, seed).where("copies > 0").select(F.col("_row").alias("_at"), "copies")
-    joined = rows.join(copies, F.col("_row") == F.col("_at"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[joined[c] for c in docs.columns])
+    named = rows.select("_row", *[F.col(f"rec.{c}").alias(c) for c in ("doc_id", "source", "text")])
+    copies = mix_numbered(named, seed).where("copies > 0").select("_row", "copies")
+    joined = rows.join(copies, "_row")
+    return joined.select("rec", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("rec.*")

@@ -1,25 +1,28 @@
 """N-gram Jaccard join: a metric-space join on the Jaccard distance of word-shingle sets, exact.
 
 1. Classes. Documents with equal shingle sets form a class; one row of each goes on, so copies are never paired.
-2. First pivots: single shingles. All shingles have one global order: rarest first as far as they are frequent (counts
-   of frequent shingles come from all documents), then by hash. A set's Voronoi cell is that of its first shingle; its
-   window reaches into the cells of its first n - ceil(0.8 n) + 1, as two sets of similarity 0.8 share one of these.
-   Where two sets first share a shingle, at places i and j of their orders, at most min(n - i, m - j) shingles are
-   common; a cell brings together only what this bound, and the sizes, allow.
-3. Second pivots: in each cell the set that comes to it earliest in its order, so the one with the fewest shingles of
-   its own, is the pivot. Sets are compared with the pivots of their cells.
-4. Cells join on, by the triangle inequality: sets whose distances to a pivot add up to at most 0.2 are linked without
-   being compared; those of a cell with |d(x, p) - d(y, p)| above 0.2 aren't linked. Of what remains first the windows
-   are compared, which bounds the similarity, and then the whole sets. So every link between classes is found, within
-   a component too; a family of m near copies has up to m (m - 1) / 2 of them.
-5. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
+2. Prefix cells. Where texts share nothing all distances are 1, and pivots can't cut the space; so shingles cut it first.
+   All shingles have one global order: rarest first as far as they are frequent (counts of frequent shingles come from
+   all documents), then by hash. A set lies in the cells of its first n - ceil(0.8 n) + 1 shingles; two sets of
+   similarity 0.8 share one of these. Where they first share one, at places i and j of their orders, at most
+   min(n - i, m - j) shingles are common; a cell brings together only what this bound, and the sizes, allow.
+3. Pivots: in each cell the set that comes to it earliest in its order, so the one with the fewest shingles of its own.
+   Sets are compared with the pivots of their cells.
+4. Triangle inequality: sets whose distances to a pivot add up to at most 0.2 are linked without being compared; those
+   of a cell with |d(x, p) - d(y, p)| above 0.2 aren't linked. All others are compared.
+5. Voronoi regions: a set belongs to the region of its nearest pivot (before distances are known, of its first one). A
+   region of more than BLOCK_SETS sets or BLOCK_SHINGLES shingles is split into blocks by hash. Two sets are compared
+   where their blocks meet, so a set travels once for each block it meets and not once for each pair, and no task ever
+   holds more than two blocks. Every link between classes is found, within a component too.
+6. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
    in tables. A row's n_links are the other rows it is linked with, copies (linked with similarity 1) by their number.
 
-The order of shingles changes cost only: every choice of it gives the same links.
+The order of shingles, the pivots and the regions change cost only: every choice gives the same links.
 
 Nulls: a null text, or one without words, has the empty set and is linked with nothing (n_links 0). A null doc_id is a document of
 its own; component_id is the smallest doc_id that isn't null. Repeated rows are linked as copies are. An empty table gives
-an empty result; extra columns are ignored. Texts of fewer than five words are one shingle.
+an empty result. Extra columns, of whatever name, are ignored by near_duplicates and kept by near_dedup. Texts of fewer than
+five words are one shingle; a very long text is one set, and a block of its own.
 """
 
 from __future__ import annotations
@@ -27,13 +30,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, materialize, maybe_in
-from .dedup import drop_rows, numbered
+from .common import bitmap, discard, drop_rows, materialize, maybe_in, numbered, words_for
 from .hashing import ngrams, word_hashes
 
 WINDOW = 5
@@ -41,6 +44,8 @@ WINDOW = 5
 PART, WHOLE = 80, 100
 #: Shingles a task's summary of frequent ones holds, and how many the ordering uses: a bound, not a filter.
 SUMMARY, FREQUENT, LEAST = 1 << 15, 1 << 15, 16
+#: Sets and shingles of a block, about.
+BLOCK_SETS, BLOCK_SHINGLES = 64, 200_000
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -89,7 +94,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
         more = found.counts > 1
         yield pa.RecordBatch.from_arrays([pa.array(found.keys[more].view(np.int64)), pa.array(found.counts[more])], ["h", "n"])
 
-    got = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    got = docs.select("rec.text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
     top = got.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
     return top.column("h").to_numpy().view(np.uint64)[::-1].copy()
 
@@ -122,7 +127,7 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 prefix.append(ordered_prefix(found, keys, rank).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "prefix"])
 
-    rows = docs.select("_row", "doc_id", "text")
+    rows = docs.select("_row", "rec.doc_id", "rec.text")
     return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary")
 
 
@@ -147,50 +152,51 @@ def allowed(n: str, i: str, m: str, j: str):
     return F.expr(f"{WHOLE + PART} * least({n} - {i}, {m} - {j}) >= {PART} * ({n} + {m}) and {WHOLE} * least({n}, {m}) >= {PART} * greatest({n}, {m})")
 
 
-def members(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows whose x is in a pair (x, y), and the few more that a filter of fixed size lets pass."""
-    wanted = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x")))
-    return maybe_in(rows, bitmap(wanted, F.col("x")), F.col("x"), "_maybe").where("_maybe").drop("_maybe")
-
-
-def sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """x, n, shingles of the members of pairs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], ["x", "n", "shingles"])
-
-    rows = docs.select(F.col("_row").alias("x"), "text")
-    return members(rows, pairs).mapInArrow(run, "x long, n int, shingles binary")
-
-
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (x, y) with the sizes of intersection and union; sets has x, n and shingles, all n or those of the window.
-    Of two windows one ends first: its set has n - k shingles beyond it, and the common ones within it are in both
-    windows. So with windows the intersection is a bound from above, and with whole sets it is exact."""
+def sets_by_block(docs: DataFrame, needs: DataFrame) -> DataFrame:
+    """block, x, shingles: the set of each needed row, once for each block. needs has x and its blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both, union = [], []
-            for n, a, m, b in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5), strict=True):
-                a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-                merged = np.concatenate([a, b])
-                merged.sort(kind="stable")
-                both.append(int((merged[1:] == merged[:-1]).sum()) + max(n - len(a), m - len(b)))
-                union.append(n + m - both[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int32()), pa.array(union, pa.int32())], ["x", "y", "both", "all"])
-
-    left = pairs.join(sets.select("x", "n", F.col("shingles").alias("a")), "x")
-    joined = left.join(sets.select(F.col("x").alias("y"), F.col("n").alias("m"), F.col("shingles").alias("b")), "y")
-    return joined.select("x", "y", "n", "a", "m", "b").mapInArrow(run, "x long, y long, both int, all int")
-
-
-def compared(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of pairs (x, y), a table, whose windows allow a link, with the exact sizes of intersection and union."""
-    windows = members(rows.select(F.col("_row").alias("x"), "n", F.col("prefix").alias("shingles")), pairs)
-    pairs = materialize(overlaps(pairs, windows).where(linked()).select("x", "y"), "bounded-pairs")
-    return overlaps(pairs, materialize(sets_of(docs, pairs), "sets"))
+            for k in range(len(batch)):
+                blocks = batch.column(2)[k].values
+                raw = shingle_set(batch.column(1)[k].as_py()).tobytes()
+                most = max(1, (4 << 20) // max(1, len(raw)))
+                for a in range(0, len(blocks), most):
+                    part = blocks.slice(a, most)
+                    yield pa.RecordBatch.from_arrays([part, pa.array(np.full(len(part), batch.column(0)[k].as_py())), pa.array([raw] * len(part), pa.binary())], ["block", "x", "shingles"])
+
+    size = words_for(needs.count())
+    rows = maybe_in(docs.select(F.col("_row").alias("x"), F.col("rec.text").alias("text")), bitmap(needs, F.col("x"), size), F.col("x"), "_maybe", size)
+    return rows.where("_maybe").join(needs, "x").select("x", "text", "blocks").mapInArrow(run, "block long, x long, shingles binary")
+
+
+def overlaps(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    """Of one block: its pairs with the exact sizes of intersection and union."""
+    known = {x: np.frombuffer(s, np.uint64) for x, s in zip(sets["x"], sets["shingles"], strict=True)}
+    both, union = [], []
+    for x, y in zip(pairs["x"], pairs["y"], strict=True):
+        merged = np.concatenate([known[x], known[y]])
+        merged.sort(kind="stable")
+        both.append(int((merged[1:] == merged[:-1]).sum()))
+        union.append(len(merged) - both[-1])
+    return pd.DataFrame({"x": pairs["x"], "y": pairs["y"], "both": np.array(both, np.int32), "all": np.array(union, np.int32)})
+
+
+def compared(docs: DataFrame, pairs: DataFrame, regions: DataFrame) -> DataFrame:
+    """A table of pairs (x, y), a table, with the exact sizes of intersection and union. regions: x, n, region, a table with a
+    row for each member of a pair at least."""
+    members = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
+    here = materialize(members.join(regions, "x").select("x", "n", "region"), "members")
+    blocks = here.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    placed = here.join(blocks, "region").select("x", F.xxhash64("region", F.pmod(F.xxhash64("x"), F.col("blocks"))).alias("home"))
+    met = pairs.join(placed, "x").withColumnRenamed("home", "home_x").join(placed.select(F.col("x").alias("y"), F.col("home").alias("home_y")), "y")
+    met = materialize(met.select("x", "y", F.xxhash64(F.least("home_x", "home_y"), F.greatest("home_x", "home_y")).alias("block")), "met")
+    needs = met.select("x", "block").unionByName(met.select(F.col("y").alias("x"), "block")).groupBy("x").agg(F.collect_set("block").alias("blocks"))
+    needs = materialize(needs, "needs")
+    sets = sets_by_block(docs, needs)
+    got = materialize(met.groupBy("block").cogroup(sets.groupBy("block")).applyInPandas(overlaps, "x long, y long, both int, all int"), "overlaps")
+    discard(here, met, needs)
+    return got
 
 
 def linked():
@@ -198,7 +204,7 @@ def linked():
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest reachable) of each node that has an edge (a, b). Each round is a table of at most as many
+    """A table node, root (smallest reachable) of each node that has an edge (a, b). Each round is a table of at most as many
     rows as there are edges; rounds grow with the logarithm of a component's diameter."""
     state = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     state, before = materialize(state, "stars"), None
@@ -212,22 +218,27 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         pulled = large.join(least, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e")).select(F.col("e.b").alias("a"), F.col("e.m").alias("b"))
-        state = materialize(pulled.where("a <> b").distinct(), "stars")
+        used, state = state, materialize(pulled.where("a <> b").distinct(), "stars")
+        discard(used)
     roots = state.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
-    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    got = materialize(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    discard(state)
+    return got
 
 
 def pivoted_cells(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """cells of one set of each class, without those that one set reaches alone, with the pivot p of each, its n and i, and the count c.
-    A filter of fixed size keeps most of the lone cells from being shuffled a second time."""
-    copies = rows.where("n > 0").select("_row", "key").join(classes.select("key", "x"), "key").where("_row <> x").select("_row")
-    first = drop_rows(rows.select("_row", "n", "prefix").where("n > 0"), materialize(copies, "copies"), F.col("_row"), "_row")
-    entries = cells(first.withColumnRenamed("_row", "x"))
-    shared = materialize(entries.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "shared-cells")
-    maybe = maybe_in(entries, bitmap(shared, F.col("h")), F.col("h"), "_maybe").where("_maybe").select("h", "x", "n", "i")
-    entries = materialize(maybe.join(shared, "h"), "cells")
-    pivots = entries.groupBy("h").agg(F.min(F.struct("i", "x", "n")).alias("p"), F.count("*").alias("c"))
-    return entries.join(pivots.select("h", F.col("p.x").alias("p"), F.col("p.n").alias("pn"), F.col("p.i").alias("pi"), "c"), "h")
+    """A table of the cells of one set of each class, without those that one set reaches alone: h, x, n, i, the pivot p of
+    each, its pn and pi, and the count c. A filter keeps most of the lone cells from being shuffled a second time."""
+    some = rows.where("n > 0")
+    copies = materialize(some.select("_row", "key").join(classes.select("key", "x"), "key").where("_row <> x").select("_row"), "class-copies")
+    entries = cells(drop_rows(some.select("_row", "n", "prefix"), copies).withColumnRenamed("_row", "x"))
+    first = F.min(F.struct("i", "x", "n")).alias("p")
+    shared = materialize(entries.groupBy("h").agg(F.count("*").alias("c"), first).where("c > 1").select("h", "c", F.col("p.x").alias("p"), F.col("p.n").alias("pn"), F.col("p.i").alias("pi")), "shared-cells")
+    size = words_for(shared.count())
+    maybe = maybe_in(entries, bitmap(shared, F.col("h"), size), F.col("h"), "_maybe", size).where("_maybe").select("h", "x", "n", "i")
+    joined = materialize(maybe.join(shared, "h"), "cells")
+    discard(copies, shared)
+    return joined
 
 
 def ordered(x: str, y: str) -> list:
@@ -235,15 +246,16 @@ def ordered(x: str, y: str) -> list:
 
 
 def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b, sure: every link between classes (by their rows x, a > b), once; a sure one joins two sets linked with a
+    """A table a, b, sure: every link between classes (by their rows x, a > b), once; a sure one joins two sets linked with a
     pivot, so the others connect what it connects."""
     limit = 1 - PART / WHOLE
     entries = pivoted_cells(rows, classes)
+    homes = materialize(entries.groupBy("x").agg(F.first("n").alias("n"), F.min("p").alias("region")), "first-regions")
     stars = entries.where((F.col("x") != F.col("p")) & allowed("n", "i", "pn", "pi")).select("x", F.col("p").alias("y")).distinct()
-    stars = materialize(stars, "pairs")
-    near = materialize(compared(docs, rows, stars), "near")
-    distance = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
-    close = near.where(linked()).select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
+    stars = materialize(stars, "star-pairs")
+    near = compared(docs, stars, homes)
+    distance = materialize(near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d")), "distances")
+    close = distance.where(F.col("d") <= limit + 1e-9).join(near.where(linked()).select("x", F.col("y").alias("p")), ["x", "p"], "left_semi")
     sure = close.join(close.select("p", F.col("x").alias("x2"), F.col("d").alias("d2")), "p").where((F.col("x") > F.col("x2")) & (F.col("d") + F.col("d2") <= limit - 1e-9))
     sure = materialize(sure.select("x", F.col("x2").alias("y")).distinct(), "sure-links")
     known = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").select("h", "x", "n", "i", "d")
@@ -256,23 +268,34 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
     pairs = pairs.select("x", F.col("x2").alias("y")).distinct()
     done = stars.select(*ordered("x", "y")).unionByName(sure)
-    more = compared(docs, rows, materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs"))
+    pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs")
+    discard(entries, known)
+    nearest = distance.groupBy("x").agg(F.min_by("p", F.struct("d", "p")).alias("nearest"))
+    regions = homes.join(nearest, "x", "left").select("x", "n", F.coalesce("nearest", "region").alias("region"))
+    regions = materialize(regions, "regions")
+    more = compared(docs, pairs, regions)
     found = near.unionByName(more).where(linked()).select(*ordered("x", "y"), F.lit(False).alias("sure")).unionByName(sure.withColumn("sure", F.lit(True)))
-    return materialize(found.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("sure").alias("sure")), "links")
+    found = materialize(found.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("sure").alias("sure")), "links")
+    discard(homes, stars, near, distance, sure, pairs, regions, more)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: _row, doc_id, n_shingles, component_id, keep_row (of the document that stays), n_links."""
-    return near_numbered(numbered(docs.select("doc_id", "text")))
+    rows = numbered(docs.select("doc_id", "text"))
+    found = near_numbered(rows)
+    discard(rows)
+    return found
 
 
 def near_numbered(docs: DataFrame) -> DataFrame:
+    """near_duplicates of a numbered table, as a table."""
     rows = materialize(describe(docs, frequent_shingles(docs)), "shingle-sets")
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
     classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), first.alias("best"), F.count("*").alias("copies")), "classes")
     found = links(docs, rows, classes)
-    roots = materialize(components(found.where("not sure").select("a", "b")), "roots")
+    roots = components(found.where("not sure").select("a", "b"))
     both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(classes.select(F.col("x").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
     rooted = classes.select("key", "x", "best", "copies").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
@@ -282,11 +305,16 @@ def near_numbered(docs: DataFrame) -> DataFrame:
     final = final.select("key", F.col("best.b").alias("component_id"), F.col("best.c").alias("keep_row"), "n_links")
     named = rows.select("_row", "doc_id", "n", "key").where("n > 0").join(final, "key").drop("key")
     empty = rows.where("n = 0").select("_row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.col("_row").alias("keep_row"), F.lit(0).cast("long").alias("n_links"))
-    return named.unionByName(empty).select("_row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "keep_row", "n_links")
+    got = named.unionByName(empty).select("_row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "keep_row", "n_links")
+    got = materialize(got, "near-duplicates")
+    discard(rows, classes, found, roots)
+    return got
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns: the one of smallest doc_id."""
     rows = numbered(docs)
-    dropped = materialize(near_numbered(rows).where("_row <> keep_row").select("_row"), "near-dropped")
-    return drop_rows(rows, dropped, F.col("_row"), "_row").drop("_row")
+    found = near_numbered(rows)
+    dropped = materialize(found.where("_row <> keep_row").select("_row"), "near-dropped")
+    discard(found)
+    return drop_rows(rows, dropped).select("rec.*")

@@ -2,7 +2,8 @@
 share a bucket, and each piece is a sequence of its own. So no sequence crosses documents and none is padded.
 
 Nulls: a null text is an empty document (end id alone); a null doc_id stays null. Repeated rows are separate documents.
-An empty table gives no pieces; extra columns are ignored. Rows need no shuffle: a document is cut where it is read.
+An empty table gives no pieces; extra columns are ignored. Very long texts are encoded whole, and their pieces are handed
+on by bytes. Rows need no shuffle: a document is cut where it is read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from .common import single_pass
 from .encoding import END_ID, byte_bpe, encoder
 
 MAX_LENGTH = 2048
+#: Bytes of pieces that a task gathers before it hands them on, and what a piece takes beside its ids.
+OUT_BYTES, PIECE_BYTES = 4 << 20, 200
 
 
 def binary_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
@@ -25,33 +29,42 @@ def binary_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
     return [most] * (n // most) + [1 << k for k in range(most.bit_length() - 2, -1, -1) if n % most >> k & 1]
 
 
-def pack_pieces(docs: DataFrame, tokenizer: tuple[str, bool] | None = None, most: int = MAX_LENGTH, payload: bool = True) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, bucket (log2 of the length), sequence_id, offset
-    and, with payload, ids (unsigned 32-bit little-endian). sequence_id is the row's place in the scan: a task that is
-    run again gives the same ids."""
+def pack_pieces(docs: DataFrame, tokenizer: tuple[str, bool] | None = None, most: int = MAX_LENGTH) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, bucket (log2 of the length), ids (unsigned 32-bit
+    little-endian), sequence_id and offset. sequence_id numbers the pieces by bucket: its top digits are the bucket's, the
+    others the piece's place in the scan, so sorting by it puts equal lengths together. A task that is run again gives
+    the same ids."""
     if most & (most - 1):
         raise ValueError("the longest piece must be a power of two")
     path, drops = tokenizer or byte_bpe()
-    fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("bucket", pa.int32())] + [("ids", pa.binary())] * payload
+    fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary())]
     schema = pa.schema(fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path, drops).encode, END_ID.to_bytes(4, "little")
+        slices, end, out, held = encoder(path, drops).batches, np.array([END_ID], "<u4"), [[] for _ in fields], 0
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(out, fields, strict=True)], schema=schema)
+
         for batch in batches:
-            out: list[list] = [[] for _ in fields]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
-                start, total = 0, len(ids) // 4
-                for length in binary_lengths(total, most):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    for column, value in zip(out, (doc, start, length, zlib.crc32(piece), total, length.bit_length() - 1, piece), strict=False):
-                        column.append(value)
-                    start += length
-                if len(out[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(out, fields, strict=True)], schema=schema)
-                    out = [[] for _ in fields]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(out, fields, strict=True)], schema=schema)
-
-    ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket int" + ", ids binary" * payload
+            docs = batch.column(0).to_pylist()
+            for first, ids, counts in slices(batch.column(1)):
+                ends = np.cumsum(counts)
+                for doc, a, b in zip(docs[first : first + len(counts)], (ends - counts).tolist(), ends.tolist(), strict=True):
+                    raw, total = np.concatenate([ids[a:b], end]).tobytes(), b - a + 1
+                    start = 0
+                    for length in binary_lengths(total, most):
+                        piece = raw[4 * start : 4 * (start + length)]
+                        for column, value in zip(out, (doc, start, length, zlib.crc32(piece), total, length.bit_length() - 1, piece), strict=True):
+                            column.append(value)
+                        start += length
+                        held += PIECE_BYTES + len(piece)
+                        if held > OUT_BYTES:
+                            yield packed()
+                            out, held = [[] for _ in fields], 0
+        yield packed()
+
+    ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket int, ids binary"
     pieces = single_pass(docs, ["doc_id", "text"]).mapInArrow(cut, ddl)
-    return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    number = F.col("bucket").cast("long") * (1 << 58) + F.monotonically_increasing_id()
+    return pieces.withColumn("sequence_id", number).withColumn("offset", F.lit(0).cast("long"))

@@ -1,4 +1,4 @@
-"""The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
+"""The queries of this subpackage, and oracle SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -33,16 +33,14 @@ def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = dedup.numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    groups = dedup.groups_of(docs)
-    digest = docs.select(F.col("_row").alias("_at"), dedup.text_sha256(F.col("text")).alias("text_sha256"))
-    # only rows whose full hash the operator didn't need get their digest here
-    joined = groups.join(digest, F.col("_row") == F.col("_at"))
-    return joined.select("doc_id", "keep_id", "group_size", "kept", F.coalesce("full_hash", "text_sha256").alias("text_sha256"))
+    rows = dedup.measured(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    groups = dedup.groups_of(rows, digest_all=True)
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.coalesce("full_hash", "digest").alias("text_sha256"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = packing.pack_pieces(table(spark, sf_dir, "documents"), payload=False)
+    """With the pieces' ids, as the pipeline packs them; the digest columns alone are handed on."""
+    got = packing.pack_pieces(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakelens.llm import chat, dedup, encoding, lm, mixing, neardup, packing, queries, rules, tokenstore, toxicity, weaklabels
@@ -58,12 +59,27 @@ def crc(ids):
 @pytest.mark.parametrize("kind", [encoding.word_bpe, encoding.byte_bpe])
 def test_encoder_equals_library(kind):
     enc, rng = encoding.Encoder(*kind()), random.Random(3)
-    bits = [" ", "  ", "\n", "\t", "a", "B", "é", "́", ".", "'s", "1", "12", "Σ", "ς", "\xa0", "\x1c", "\x85", "　", "<|endoftext|>", "|", "<", "😀", "\r\n", "ß", "word,", "Word."]
+    bits = [" ", "  ", "\n", "\n\n", "\t", "\x00", "a", "B", "é", "́", ".", "'s", "1", "12", "Σ", "ς", "\xa0", "\x1c", "\x85", "　", "<|endoftext|>", "|", "<", "😀", "\r\n", "ß", "word,", "Word."]
     for _ in range(4000):
         text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 10)))
         assert enc.encode(text) == enc.direct(text), repr(text)
 
 
+@pytest.mark.parametrize("kind", [encoding.word_bpe, encoding.byte_bpe])
+def test_encoder_of_batches(kind, rows, monkeypatch):
+    """Slices, memo generations and gathers of any size give the library's ids; so do very long words."""
+    monkeypatch.setattr(encoding, "SLICE_BYTES", 300)
+    monkeypatch.setattr(encoding, "GATHER", 7)
+    enc = encoding.Encoder(*kind())
+    enc.memo.most, enc.bare.most = 40, 8
+    texts = [*(r[1] for r in rows), "x" * 5000 + " tail", "é" * 40 + "." * 300, None]
+    got = {}
+    for first, ids, counts in enc.batches(pa.array([None, *texts]).slice(1)):
+        for k, x in enumerate(np.split(ids, np.cumsum(counts)[:-1])):
+            got[first + k] = x.tobytes()
+    assert [got[k] for k in range(len(texts))] == [enc.direct(t or "") for t in texts]
+
+
 def test_token_store(spark, docs, rows):
     root = shared_path(spark, "store")
     manifest = tokenstore.write_store(docs, root, shards=5)
@@ -79,12 +95,52 @@ def test_token_store(spark, docs, rows):
         at += x.n_tokens
     known = [x.doc_id for x in ordered if x.doc_id is not None]
     assert known == sorted(known) and ordered[0].doc_id is None
+    assert len({(x.doc_id, x.occurrence) for x in got}) == len(got)
     shard = tokenstore.Shard(root, next(m.shard for m in manifest.collect() if m.n_docs), 2)
     missing = np.arange(10**6, 10**6 + 500)
     offsets, _ = shard.find(missing, np.zeros(500, np.int64))
     assert (offsets < 0).mean() > 0.99
     keys, seen = shard.keys()
-    assert sorted(shard.hash.slots(keys, seen)) == list(range(len(keys)))  # minimal and perfect
+    assert sorted(shard.slot(keys[k : k + 1], seen[k : k + 1]) for k in range(len(keys))) == list(range(len(keys)))  # minimal and perfect
+
+
+def test_token_store_lookup(spark, docs, rows):
+    """Every key is found in its shard by reading its index at a few places; unknown ones aren't found."""
+    root = shared_path(spark, "store")
+    store = tokenstore.Store(root, tokenstore.write_store(docs, root, shards=5))
+    direct, count = encoding.Encoder(*encoding.word_bpe()), collections.Counter()
+    want = collections.defaultdict(list)
+    for r in rows:
+        want[r[0]].append([*np.frombuffer(direct.direct(r[1] or ""), "<u4"), 1])
+    for doc_id, texts in want.items():
+        got = [store.lookup([doc_id], k)[0].tolist() for k in range(len(texts))]
+        assert sorted(got) == sorted(texts)
+        assert store.lookup([doc_id], len(texts)) == [None]
+        count[len(texts)] += 1
+    assert max(count) > 1 and store.lookup([10**6, -5, 2**53 + 1]) == [None] * 3
+
+
+def test_token_store_large_ids_beside_a_null(spark):
+    ids = [None, 2**53, 2**53 + 1, 2**53 + 2, -(2**63), 2**63 - 1]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
+    root = shared_path(spark, "store")
+    manifest = tokenstore.write_store(docs, root, shards=2)
+    got = tokenstore.scan_store(spark, root, manifest).orderBy("start").collect()
+    assert [(x.doc_id, x.occurrence) for x in got] == [(i, 0) for i in sorted(ids, key=lambda i: (i is not None, i or 0))]
+    assert all(x is not None for x in tokenstore.Store(root, manifest).lookup(ids))
+
+
+def test_token_store_one_id_over_shards(spark):
+    """A repeated doc_id spreads over shards, and its occurrences are numbered over all of them."""
+    docs = spark.createDataFrame([(7, f"text number {k} " + "word " * (k % 9)) for k in range(400)] + [(8, "x")], "doc_id long, text string")
+    root = shared_path(spark, "store")
+    manifest = tokenstore.write_store(docs, root, shards=4)
+    assert sum(x.n_docs > 0 for x in manifest.collect()) > 2
+    got = tokenstore.scan_store(spark, root, manifest).collect()
+    assert sorted(x.occurrence for x in got if x.doc_id == 7) == list(range(400))
+    store = tokenstore.Store(root, manifest)
+    by = {x.occurrence: x.ids_crc32 for x in got if x.doc_id == 7}
+    assert all(crc(store.lookup([7], k)[0]) == by[k] for k in range(0, 400, 13)) and store.lookup([7], 400) == [None]
 
 
 def test_token_store_of_a_large_vocabulary(spark, tmp_path):
