@@ -10,11 +10,14 @@
    Sets are compared with the pivots of their cells.
 4. Triangle inequality: sets whose distances to a pivot add up to at most 0.2 are linked without being compared; those
    of a cell with |d(x, p) - d(y, p)| above 0.2 aren't linked. All others are compared.
-5. Voronoi regions: a set belongs to the region of its nearest pivot (before distances are known, of its first one). A
-   region of more than BLOCK_SETS sets or BLOCK_SHINGLES shingles is split into blocks by hash. Two sets are compared
-   where their blocks meet, so a set travels once for each block it meets and not once for each pair, and no task ever
-   holds more than two blocks. Every link between classes is found, within a component too.
-6. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
+5. Sketches: a set's sketch has a bit for each bucket of its shingles, set where their number is odd. Where the bits of two
+   sketches differ, the sets do; so the differing bits bound the distance from below, and most pairs end here.
+6. Regions: before distances are known, a set belongs to the region of its first pivot; after that to all pivots within
+   REGION of it, whose regions are one. A region of more than BLOCK_SETS sets or BLOCK_SHINGLES shingles is split into
+   blocks by hash. Two sets are compared where their blocks meet, so a set travels once for each block it meets and not
+   once for each pair; where pairs are few for a region's blocks, they meet at one of the two sets. No group ever holds
+   more than two blocks. Every link between classes is found, within a component too.
+7. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
    in tables. A row's n_links are the other rows it is linked with, copies (linked with similarity 1) by their number.
 
 The order of shingles, the pivots and the regions change cost only: every choice gives the same links.
@@ -44,6 +47,8 @@ WINDOW = 5
 PART, WHOLE = 80, 100
 #: Shingles a task's summary of frequent ones holds, and how many the ordering uses: a bound, not a filter.
 SUMMARY, FREQUENT, LEAST = 1 << 15, 1 << 15, 16
+#: Regions of pivots with a set this near to both are one.
+REGION = 0.5
 #: Sets and shingles of a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 64, 200_000
 
@@ -111,24 +116,40 @@ def ordered_prefix(found: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> np.
     return found[:k]
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """A set's shingles by bucket, modulo 2: at least two buckets for each shingle, a power of two of them, packed."""
+    size = 1 << max(9, min(20, (2 * len(found) - 1).bit_length())) if len(found) else 512
+    odd = np.bincount((found >> np.uint64(7) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in one of two sets only. The longer sketch is folded to the length of the other."""
+    x, y = (np.frombuffer(v, np.uint64) for v in ((a, b) if len(a) <= len(b) else (b, a)))
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Of a numbered table: _row, doc_id, n, key (of the set), prefix (the shingles of its window)."""
+    """Of a numbered table: _row, doc_id, n, key (of the set), prefix (the shingles of its window), sketch."""
     sort = np.argsort(frequent)
     shared = docs.sparkSession.sparkContext.broadcast((frequent[sort], sort))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rank = shared.value
         for batch in batches:
-            n, key, prefix = [], [], []
+            n, key, prefix, odd = [], [], [], []
             for text in batch.column(2):
                 found = shingle_set(text.as_py())
                 n.append(len(found))
                 key.append(xxhash.xxh3_128_digest(found.tobytes()))
                 prefix.append(ordered_prefix(found, keys, rank).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary())], ["_row", "doc_id", "n", "key", "prefix"])
+                odd.append(sketch(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(prefix, pa.binary()), pa.array(odd, pa.binary())], ["_row", "doc_id", "n", "key", "prefix", "sketch"])
 
     rows = docs.select("_row", "rec.doc_id", "rec.text")
-    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary")
+    return rows.mapInArrow(run, "_row long, doc_id long, n int, key binary, prefix binary, sketch binary")
 
 
 def cells(rows: DataFrame) -> DataFrame:
@@ -182,15 +203,41 @@ def overlaps(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"x": pairs["x"], "y": pairs["y"], "both": np.array(both, np.int32), "all": np.array(union, np.int32)})
 
 
+def bounded(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A table of pairs (x, y), a table, with low: the distance is at least that, by their sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = []
+            for n, a, m, b in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                least = max(abs(n - m), differing(a, b))
+                low.append(2 * least / (n + m + least))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low, pa.float64())], ["x", "y", "low"])
+
+    wanted = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x")))
+    size = words_for(2 * pairs.count())
+    known = maybe_in(rows.select(F.col("_row").alias("x"), "n", "sketch"), bitmap(wanted, F.col("x"), size), F.col("x"), "_maybe", size).where("_maybe")
+    left = pairs.select("x", "y").join(known.select("x", "n", F.col("sketch").alias("a")), "x")
+    joined = left.join(known.select(F.col("x").alias("y"), F.col("n").alias("m"), F.col("sketch").alias("b")), "y")
+    return materialize(joined.select("x", "y", "n", "a", "m", "b").mapInArrow(run, "x long, y long, low double"), "bounds")
+
+
 def compared(docs: DataFrame, pairs: DataFrame, regions: DataFrame) -> DataFrame:
     """A table of pairs (x, y), a table, with the exact sizes of intersection and union. regions: x, n, region, a table with a
     row for each member of a pair at least."""
     members = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
     here = materialize(members.join(regions, "x").select("x", "n", "region"), "members")
-    blocks = here.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    placed = here.join(blocks, "region").select("x", F.xxhash64("region", F.pmod(F.xxhash64("x"), F.col("blocks"))).alias("home"))
-    met = pairs.join(placed, "x").withColumnRenamed("home", "home_x").join(placed.select(F.col("x").alias("y"), F.col("home").alias("home_y")), "y")
-    met = materialize(met.select("x", "y", F.xxhash64(F.least("home_x", "home_y"), F.greatest("home_x", "home_y")).alias("block")), "met")
+    at = here.select("x", F.col("region").alias("at_x"))
+    joined = pairs.select("x", "y").join(at, "x").join(at.select(F.col("x").alias("y"), F.col("at_x").alias("at_y")), "y")
+    inside = joined.where("at_x = at_y").groupBy(F.col("at_x").alias("region")).agg(F.count("*").alias("pairs"))
+    blocks = here.groupBy("region").agg(F.count("*").alias("sets"), F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    dense = blocks.join(inside, "region").where("sets * blocks <= sets + pairs").select(F.col("region").alias("at_x"), "blocks")
+    stars = pairs.groupBy("x").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    home = lambda v: F.xxhash64("at_x", F.pmod(F.xxhash64(v), F.col("blocks")))
+    of_blocks = F.when((F.col("at_x") == F.col("at_y")) & F.col("blocks").isNotNull(), F.xxhash64(F.least(home("x"), home("y")), F.greatest(home("x"), home("y"))))
+    of_star = F.xxhash64("x", F.pmod(F.xxhash64("y"), F.col("parts")))
+    met = joined.join(dense, "at_x", "left").join(stars, "x").select("x", "y", F.coalesce(of_blocks, of_star).alias("block"))
+    met = materialize(met, "met")
     needs = met.select("x", "block").unionByName(met.select(F.col("y").alias("x"), "block")).groupBy("x").agg(F.collect_set("block").alias("blocks"))
     needs = materialize(needs, "needs")
     sets = sets_by_block(docs, needs)
@@ -253,30 +300,36 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     homes = materialize(entries.groupBy("x").agg(F.first("n").alias("n"), F.min("p").alias("region")), "first-regions")
     stars = entries.where((F.col("x") != F.col("p")) & allowed("n", "i", "pn", "pi")).select("x", F.col("p").alias("y")).distinct()
     stars = materialize(stars, "star-pairs")
-    near = compared(docs, stars, homes)
-    distance = materialize(near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d")), "distances")
-    close = distance.where(F.col("d") <= limit + 1e-9).join(near.where(linked()).select("x", F.col("y").alias("p")), ["x", "p"], "left_semi")
+    bounds = bounded(rows, stars)
+    near = compared(docs, materialize(bounds.where(F.col("low") <= limit + 1e-9), "star-pairs"), homes)
+    exact = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
+    distance = bounds.select("x", F.col("y").alias("p"), "low").join(exact, ["x", "p"], "left").select("x", "p", "d", F.coalesce("d", "low").alias("low"))
+    distance = materialize(distance, "distances")
+    close = near.where(linked()).select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
     sure = close.join(close.select("p", F.col("x").alias("x2"), F.col("d").alias("d2")), "p").where((F.col("x") > F.col("x2")) & (F.col("d") + F.col("d2") <= limit - 1e-9))
     sure = materialize(sure.select("x", F.col("x2").alias("y")).distinct(), "sure-links")
-    known = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").select("h", "x", "n", "i", "d")
+    known = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").select("h", "x", "n", "i", "d", "low")
     known = materialize(known, "cells-by-distance")
-    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "d")])
+    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "d", "low")])
     pairs = known.join(other, "h").where(
         (F.col("x") > F.col("x2"))
         & allowed("n", "i", "n2", "i2")
-        & F.coalesce((F.abs(F.col("d") - F.col("d2")) <= limit + 1e-9) & (F.col("d") + F.col("d2") > limit - 1e-9), F.lit(True))
+        & F.coalesce(F.col("low2") - F.col("d") <= limit + 1e-9, F.lit(True))
+        & F.coalesce(F.col("low") - F.col("d2") <= limit + 1e-9, F.lit(True))
+        & F.coalesce(F.col("d") + F.col("d2") > limit - 1e-9, F.lit(True))
     )
     pairs = pairs.select("x", F.col("x2").alias("y")).distinct()
     done = stars.select(*ordered("x", "y")).unionByName(sure)
     pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs")
     discard(entries, known)
-    nearest = distance.groupBy("x").agg(F.min_by("p", F.struct("d", "p")).alias("nearest"))
-    regions = homes.join(nearest, "x", "left").select("x", "n", F.coalesce("nearest", "region").alias("region"))
+    roots = components(distance.where(F.col("d") <= REGION).select(F.col("x").alias("a"), F.col("p").alias("b")))
+    regions = homes.join(roots, F.col("x") == F.col("node"), "left").select("x", "n", F.coalesce("root", "x").alias("region"))
     regions = materialize(regions, "regions")
-    more = compared(docs, pairs, regions)
+    further = bounded(rows, pairs)
+    more = compared(docs, materialize(further.where(F.col("low") <= limit + 1e-9), "bounded-pairs"), regions)
     found = near.unionByName(more).where(linked()).select(*ordered("x", "y"), F.lit(False).alias("sure")).unionByName(sure.withColumn("sure", F.lit(True)))
     found = materialize(found.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("sure").alias("sure")), "links")
-    discard(homes, stars, near, distance, sure, pairs, regions, more)
+    discard(homes, stars, bounds, near, distance, sure, pairs, roots, regions, further, more)
     return found
 
 
