@@ -1,20 +1,27 @@
 """Chat formatting with DataFrame functions only.
 
-A message's content is a string or an array of typed parts (text, image, audio, document). A visitor by type flattens
-parts into one string with ordered placeholders, and records each attachment's reference and expanded token count.
+A message's content is a string, which is one text part, or an array of typed parts (text, image, audio, document) with
+any of the fields of PART. A visitor by type flattens parts into one string with ordered placeholders, and records each
+attachment's reference, type and expanded token count. A part of any other type gets the placeholder `<|attachment|>`,
+so no type can look like a control string; its own type is recorded with the attachment.
 Turns are marked by control strings; the same strings inside texts are escaped by one backslash, reversibly.
 
 Nulls: a null text or role is empty; a null conv_id is a conversation of its own; a null part is skipped. Repeated rows
-are separate turns; ties of turn go by role, then text. An empty table gives no conversations; extra columns are ignored.
+are separate turns; ties of turn go by role, then text. An empty table gives no conversations; extra columns are ignored;
+a very long text is formatted whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+FIELDS = ("type", "text", "ref", "width", "height", "seconds", "pages")
+#: Types with a placeholder of their own.
+KINDS = ("image", "audio", "document")
 #: Tokens of an attachment: a patch of an image, a second of sound, a page.
 PATCH, SOUND, PAGE = 28, 25.0, 600
 
@@ -47,16 +54,25 @@ def part_tokens(part: Column) -> Column:
 
 
 def placeholder(part: Column) -> Column:
-    return F.when(F.coalesce(part["type"], F.lit("text")) == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), F.regexp_replace(part["type"], r"[|<>]", ""), F.lit("|>")))
+    kind = F.coalesce(part["type"], F.lit("text"))
+    name = F.when(kind.isin(*KINDS), kind).otherwise(F.lit("attachment"))
+    return F.when(kind == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), name, F.lit("|>")))
+
+
+def parts_of(rows: DataFrame, content: str) -> Column:
+    """The content as an array of PART without nulls; fields are taken by name, absent ones are null."""
+    kind = rows.schema[content].dataType
+    if not isinstance(kind, ArrayType):
+        text = F.struct(F.lit("text").alias("type"), F.coalesce(F.col(content).cast("string"), F.lit("")).alias("text"), *[F.lit(None).alias(x) for x in FIELDS[2:]])
+        return F.array(text.cast(PART))
+    have = {f.name for f in kind.elementType.fields}
+    named = lambda p: F.struct(*[(p[x] if x in have else F.lit(None)).alias(x) for x in FIELDS]).cast(PART)
+    return F.coalesce(F.transform(F.filter(F.col(content), lambda p: p.isNotNull()), named), F.array().cast(f"array<{PART}>"))
 
 
 def flatten(rows: DataFrame, content: str) -> DataFrame:
     """Adds flat (escaped text with placeholders), attachments (in order) and expanded_tokens."""
-    kind = dict(rows.dtypes)[content]
-    none = F.array().cast("array<struct<ref:string,type:string,tokens:bigint>>")
-    if not kind.startswith("array"):
-        return rows.withColumns({"flat": escape(F.coalesce(F.col(content).cast("string"), F.lit(""))), "attachments": none, "expanded_tokens": F.lit(0).cast("long")})
-    parts = F.filter(F.coalesce(F.col(content), F.array().cast(kind)), lambda p: p.isNotNull()).cast(f"array<{PART}>")
+    parts = parts_of(rows, content)
     attached = F.transform(F.filter(parts, lambda p: F.coalesce(p["type"], F.lit("text")) != "text"), lambda p: F.struct(p["ref"].alias("ref"), p["type"].alias("type"), part_tokens(p).alias("tokens")))
     return rows.withColumns({"flat": F.array_join(F.transform(parts, placeholder), ""), "attachments": attached, "expanded_tokens": F.aggregate(attached, F.lit(0).cast("long"), lambda a, p: a + p["tokens"])})
 

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-from .tokenstore import mix
+M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 #: Words that a worker remembers, and the bytes of the longest of them.
 MEMO_WORDS, MEMO_BYTES = 100_000, 64
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    x = x + STEP
+    x = (x ^ (x >> np.uint64(30))) * M1
+    x = (x ^ (x >> np.uint64(27))) * M2
+    return x ^ (x >> np.uint64(31))
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         got = xxhash.xxh64_intdigest(word)
@@ -39,3 +51,20 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = mix(out + words[k : k + m])
     return out
+
+
+def lean(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A task's function over Arrow batches; when the task ends its worker, which later stages reuse, gives memory back."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            WORDS.clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run

@@ -1,19 +1,20 @@
 """Language-model scores by stupid backoff over the corpus itself, each document scored without its own counts.
 
-* Blocks: a block is one partition of the scan; the rows are written once with their block's number, and both passes
-  read that table, so it doesn't matter how either is split. A block counts its n-grams (all orders up to ORDER) and sends each distinct
-  one once, packed by hash bucket. So a frequent n-gram costs a row per block, never one per occurrence.
-* Buckets: n-gram counts are summed in tables partitioned by hash, joined to the blocks' n-grams, and what occurs twice
-  or more goes back to the blocks that hold it (the rest is known to occur in one place only).
-* Scores: the rows are read again; a document's n-grams look up their totals in its block's table, its own counts are
+* Blocks: rows are written once with the number of their block, a run of documents of about BLOCK_BYTES of text. A block
+  counts its n-grams (all orders up to ORDER) and sends each distinct one once, packed by hash bucket: sorted, as
+  differences. So a frequent n-gram costs an entry per block, never one per occurrence.
+* Buckets: count tables partitioned by hash, as many as keep one of them to about BUCKET n-grams. They sum the counts,
+  join the sums to the blocks' n-grams, and send what occurs twice or more back to the blocks that hold it (the rest
+  is known to occur in one place only).
+* Scores: documents and totals are joined by block. A document's n-grams look up their totals, its own counts are
   subtracted, and the logarithms are summed per document.
 
 S(w | context) = count(context w) / count(context) if that n-gram occurs elsewhere, else 0.4 S(w | shorter context); a
 single word's is its share of the other documents' words, half a count if it is new.
 
-Nulls: a null text is empty; a text without
-words has log_score 0 and a null mean. A null doc_id is scored as well. Repeated rows are separate documents, so they
-support one another. An empty table gives an empty result; extra columns are ignored.
+Nulls: a null text is empty; a text without words has log_score 0 and a null mean. A null doc_id is scored as well.
+Repeated rows are separate documents, so they support one another. An empty table gives an empty result; extra columns
+are ignored. A text longer than a block is a block of its own.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, shared_path
-from .hashing import ngrams, word_hashes
+from .common import discard, materialize
+from .hashing import lean, ngrams, word_hashes
 
-ORDER, BACKOFF = 2, 0.4
-#: The order op4 runs with: words, bigrams and trigrams.
-TRIGRAMS = 3
-#: n-grams held before a block sends what it has.
-FLUSH = 3_000_000
+ORDER, BACKOFF = 3, 0.4
+#: Bytes of text of a block, and n-grams of a bucket, about.
+BLOCK_BYTES, BUCKET = 12 << 20, 4_000_000
 #: The key under which words are counted.
 ALL = np.uint64(0)
 
@@ -43,63 +44,103 @@ def orders(text: str | None, order: int) -> list[np.ndarray]:
     return [ngrams(words, n) for n in range(1, order + 1)]
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -> DataFrame:
-    """doc_id, n_words, log_score (sum of natural logarithms), mean_log_score."""
-    spark = docs.sparkSession
-    n_buckets = buckets or partitions(spark)
-    rows = materialize(docs.select("doc_id", "text", F.spark_partition_id().cast("long").alias("block")), "blocks")
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys as differences, byte by byte of all: the high bytes are zeros, which compress away."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
+
+
+def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """A table doc_id, text, block: a task numbers its blocks, so no two tasks share one."""
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            got = []
+            for size in pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_pylist():
+                if held and held + size > block_bytes:
+                    block, held = block + 1, 0
+                held += size
+                got.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.int64())], ["doc_id", "text", "block"])
+
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, block long"), "blocks")
+
+
+def counted(rows: DataFrame, order: int, n_buckets: int) -> DataFrame:
+    """bucket, block, keys, counts: the distinct n-grams of each block by bucket; ALL, with the words, is in every bucket 0."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, size = None, [], 0
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, words = None, [], 0
 
         def flush() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate([x for x, _ in held]), return_counts=True)
-            counts = counts.astype(np.int64)
-            if len(keys) and keys[0] == ALL:
-                counts[0] = 0
-            words = sum(n for _, n in held)
-            keys, counts = np.concatenate([[ALL], keys[keys != ALL]]), np.concatenate([[words], counts[keys != ALL]])
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            more = keys != ALL
+            keys, counts = np.concatenate([[ALL], keys[more]]), np.concatenate([[words], counts[more]])
             at = (keys % np.uint64(n_buckets)).astype(np.int64)
             turn = np.argsort(at, kind="stable")
             ends = np.searchsorted(at[turn], np.arange(n_buckets + 1))
             keys, counts = keys[turn], counts[turn]
             full = np.flatnonzero(np.diff(ends))
-            pack = lambda x, kind: pa.array([x[ends[b] : ends[b + 1]].astype(kind).tobytes() for b in full], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()), pack(keys, "<u8"), pack(counts, "<u4" if words < 1 << 32 else "<u8"), pa.array(np.full(len(full), 4 if words < 1 << 32 else 8), pa.int32())], ["bucket", "block", "keys", "counts", "width"])
+            parts = [slice(ends[b], ends[b + 1]) for b in full]
+            columns = [pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64())]
+            columns += [pa.array([packed(keys[z]) for z in parts], pa.binary()), pa.array([counts[z].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for z in parts], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "block", "keys", "counts"])
 
         for batch in batches:
             for text, of in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                if held and (of != block or size >= FLUSH):
+                if held and of != block:
                     yield flush()
-                    held, size = [], 0
+                    held, words = [], 0
                 block = of
                 grams = orders(text.as_py(), order)
-                for n, x in enumerate(grams):
-                    held.append((x, len(x) if n == 0 else 0))
-                    size += len(x)
+                held += grams
+                words += len(grams[0])
         if held:
             yield flush()
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(x, "<u8") for x in pdf["keys"]]
-        counts = [np.frombuffer(x, f"<u{w}").astype(np.int64) for x, w in zip(pdf["counts"], pdf["width"], strict=True)]
-        everything, at = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
-        blocks, out = pdf["block"].to_numpy(), []
-        for block in np.unique(blocks):
-            mine = np.unique(np.concatenate([keys[i] for i in np.flatnonzero(blocks == block)]))
-            got = sums[np.searchsorted(everything, mine)]
-            more = (got > 1) | (mine == ALL)
-            out.append((int(block), mine[more].tobytes(), got[more].astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["block", "keys", "totals"])
-
-    counted = rows.mapInArrow(count, "bucket long, block long, keys binary, counts binary, width int")
-    totals = counted.groupBy("bucket").applyInPandas(total, "block long, keys binary, totals binary")
-    path = shared_path(spark, "ngram-totals")
-    totals.repartition(n_buckets, "block").write.partitionBy("block").parquet(path)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, sums = None, None, None
+    return rows.mapInArrow(run, "bucket long, block long, keys binary, counts binary")
+
+
+def numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+
+
+def bucket_totals(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: block, keys and totals of the n-grams of each block that occur twice or more anywhere."""
+    keys, counts = [unpacked(x) for x in pdf["keys"]], [numbers(x) for x in pdf["counts"]]
+    everything, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros(len(everything), np.int64)
+    np.add.at(sums, at, np.concatenate(counts))
+    blocks, out = pdf["block"].to_numpy(), []
+    for block in np.unique(blocks):
+        mine = np.unique(np.concatenate([keys[i] for i in np.flatnonzero(blocks == block)]))
+        got = sums[np.searchsorted(everything, mine)]
+        more = (got > 1) | (mine == ALL)
+        out.append((int(block), packed(mine[more]), got[more].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()))
+    return pd.DataFrame(out, columns=["block", "keys", "totals"])
+
+
+def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, n_words, log_score (sum of natural logarithms), mean_log_score."""
+    rows = in_blocks(docs, block_bytes)
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_buckets = max(1, -(-size * order // (6 * bucket)))  # about six characters a word
+    totals = counted(rows, order, n_buckets).groupBy("bucket").applyInPandas(bucket_totals, "block long, keys binary, totals binary")
+
+    def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        """Of one block: its documents' scores, from the totals of its n-grams."""
+        if not len(texts):
+            return pd.DataFrame({"doc_id": [], "n_words": [], "log_score": [], "mean_log_score": []})
+        keys = np.concatenate([np.array([ALL]), *(unpacked(x) for x in found["keys"])])
+        sums = np.concatenate([np.array([0]), *(numbers(x) for x in found["totals"])])
+        turn = np.lexsort((-sums, keys))
+        keys, sums = keys[turn], sums[turn]
 
         def find(grams: np.ndarray) -> np.ndarray:
             """Counts in the other documents."""
@@ -107,44 +148,27 @@ def lm_scores(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -
             place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
             return (np.where(keys[place] == mine, sums[place], own) - own)[at]
 
-        for batch in batches:
-            n_words, scores = [], []
-            for text, of in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                if of != block:
-                    block, (keys, sums) = of, block_totals(path, of)
-                grams = orders(text.as_py(), order)
-                n = len(grams[0])
-                n_words.append(n)
-                if not n:
-                    scores.append(0.0)
-                    continue
-                counts = [find(x) for x in grams if len(x)]
-                others = max(1, sums[0] - n)
-                got = np.log(np.maximum(counts[0], 0.5) / others)
-                for k in range(1, len(counts)):  # longer contexts replace what shorter ones gave
-                    longer, context = counts[k], counts[k - 1][: len(counts[k])]
-                    got[k:] = np.where(longer > 0, np.log(np.maximum(longer, 1) / np.maximum(context, 1)), np.log(BACKOFF) + got[k:])
-                scores.append(float(got.sum()))
-            mean = [s / n if n else None for s, n in zip(scores, n_words, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(scores, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_words", "log_score", "mean_log_score"])
-
-    return rows.mapInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
-
-
-def block_totals(path: str, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """A block's n-grams that occur more than once, sorted, and their totals; the first is ALL."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    store, at = fs.FileSystem.from_uri(path)
-    found = [f.path for f in store.get_file_info(fs.FileSelector(f"{at}/block={block}", allow_not_found=True)) if f.path.endswith(".parquet")]
-    keys, sums = [np.array([ALL])], [np.array([0])]
-    for name in sorted(found):
-        for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(columns=["keys", "totals"], batch_size=64):
-            keys += [np.frombuffer(x.as_py(), "<u8") for x in batch.column(0)]
-            sums += [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
-    key, value = np.concatenate(keys), np.concatenate(sums)
-    order = np.lexsort((-value, key))
-    key, value = key[order], value[order]
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    return key[new], value[new]
+        n_words, scores = [], []
+        everything = sums[keys == ALL].max()
+        for text in texts["text"]:
+            grams = orders(text, order)
+            n = len(grams[0])
+            n_words.append(n)
+            if not n:
+                scores.append(0.0)
+                continue
+            counts = [find(x) for x in grams if len(x)]
+            got = np.log(np.maximum(counts[0], 0.5) / max(1, everything - n))
+            for k in range(1, len(counts)):  # longer contexts replace what shorter ones gave
+                longer, context = counts[k], counts[k - 1][: len(counts[k])]
+                got[k:] = np.where(longer > 0, np.log(np.maximum(longer, 1) / np.maximum(context, 1)), np.log(BACKOFF) + got[k:])
+            scores.append(float(got.sum()))
+        mean = [s / n if n else None for s, n in zip(scores, n_words, strict=True)]
+        return pd.DataFrame({"doc_id": texts["id"].astype("Int64").mask(texts["missing"]), "n_words": n_words, "log_score": scores, "mean_log_score": mean})
+
+    # ids as whole numbers: a column with nulls would reach pandas as floats
+    texts = rows.select("block", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("missing"), "text")
+    joined = texts.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, log_score double, mean_log_score double")
+    got = materialize(joined, "lm-scores")
+    discard(rows)
+    return got

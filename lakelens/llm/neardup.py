@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap, discard, drop_rows, materialize, maybe_in, numbered, words_for
-from .hashing import ngrams, word_hashes
+from .hashing import lean, ngrams, word_hashes
 
 WINDOW = 5
 #: Similarity as a fraction, 80 of 100.
@@ -90,6 +90,7 @@ class Frequent:
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """At most FREQUENT shingles in ascending order of their estimated counts over all documents."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Frequent()
         for batch in batches:
@@ -136,6 +137,7 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     sort = np.argsort(frequent)
     shared = docs.sparkSession.sparkContext.broadcast((frequent[sort], sort))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rank = shared.value
         for batch in batches:
@@ -155,6 +157,7 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 def cells(rows: DataFrame) -> DataFrame:
     """h, x, n, i: a row for each cell that a set's window reaches; i is the cell's place in the set's order."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, len(batch), 500):
@@ -176,6 +179,7 @@ def allowed(n: str, i: str, m: str, j: str):
 def sets_by_block(docs: DataFrame, needs: DataFrame) -> DataFrame:
     """block, x, shingles: the set of each needed row, once for each block. needs has x and its blocks."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
@@ -206,6 +210,7 @@ def overlaps(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
 def bounded(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """A table of pairs (x, y), a table, with low: the distance is at least that, by their sketches."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low = []

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import single_pass
 from .encoding import END_ID, byte_bpe, encoder
+from .hashing import lean
 
 MAX_LENGTH = 2048
 #: Bytes of pieces that a task gathers before it hands them on, and what a piece takes beside its ids.
@@ -40,6 +41,7 @@ def pack_pieces(docs: DataFrame, tokenizer: tuple[str, bool] | None = None, most
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary())]
     schema = pa.schema(fields)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices, end, out, held = encoder(path, drops).batches, np.array([END_ID], "<u4"), [[] for _ in fields], 0
 

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .hashing import lean
+
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_digits", "n_lines", "n_ends")
@@ -48,6 +50,7 @@ def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
     rows = docs.select(*keep, "text")
     schema = rows.select(*keep).schema
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [text_stats(x.as_py()) for x in batch.column(len(keep))]

@@ -32,20 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import partitions, shared_path, single_pass
 from .encoding import END_ID, encoder, word_bpe
+from .hashing import lean, mix
 
 GAMMA, NULL_MARK = 2.0, 1 << 40
 #: Bits of a block of a level; each has its rank.
 BLOCK = 512
 #: Names that Spark's file systems and Arrow's give the same store.
 ALIASES = {"s3a://": "s3://", "s3n://": "s3://"}
-M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = x + STEP
-    x = (x ^ (x >> np.uint64(30))) * M1
-    x = (x ^ (x >> np.uint64(27))) * M2
-    return x ^ (x >> np.uint64(31))
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def hashed(ids: np.ndarray, occurrence: np.ndarray, seed: int) -> np.ndarray:
@@ -247,6 +241,7 @@ def write_store(docs: DataFrame, root: str, tokenizer: tuple[str, bool] | None =
     store.create_dir(at, recursive=True)
     kind = f"<u{width}"
 
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, slices = TaskContext.get().partitionId(), encoder(path, drops).batches
         ids, nulls, lengths = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
@@ -300,6 +295,7 @@ def scan_store(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame
     rows = [(x["shard"], x["base"], x["width"], x["first_id"], x["before"]) for x in placed(manifest)]
     names = ["doc_id", "start", "n_tokens", "ids_crc32", "occurrence"]
 
+    @lean
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, base, width, first_id, before in zip(*(c.to_pylist() for c in batch.columns), strict=True):

@@ -13,7 +13,8 @@ whose crc32(doc_id as text) mod 5 is 0.
 
 Nulls: a null text is empty and gets the score of a text without segments; a null doc_id or label is not learned from
 and is scored like any other row (held_out as for the empty text). Repeated rows are scored alike. Without labels of
-both kinds no token scores, and every score is the prior. Extra columns are ignored.
+both kinds, as in an empty table, no token scores, and every score is the prior. Extra columns are ignored by
+score_documents and kept by clean_documents. Very long texts are scanned whole.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import lean
 from .neardup import PART, WHOLE, shingle_set
 
 FEATURES_LOG2 = 20
@@ -37,8 +39,8 @@ SAMPLE_ROWS = 40_000
 PREFIX = 4
 PRIOR, MARGIN, DRIFT, CEILING = 5.0, 1.0, -0.25, 8.0
 BIN, BINS = 0.5, 80
-#: Distinct words a worker remembers.
-MEMO_WORDS = 200_000
+#: Distinct words a worker remembers, and the longest one.
+MEMO_WORDS, MEMO_CHARS = 100_000, 64
 #: Least log-odds ratio of a token that scores. A large sample makes any slight difference significant, such as that of
 #: lengths; this keeps what counts alike at every size.
 EFFECT = 1.0
@@ -87,8 +89,9 @@ class Scorer:
                 memo.clear()
                 missing = set(words)
             for w in missing:
-                memo[w] = self.word(w)
-        scores = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
+                if len(w) <= MEMO_CHARS:
+                    memo[w] = self.word(w)
+        scores = np.fromiter((memo[w] if w in memo else self.word(w) for w in words) if any(len(w) > MEMO_CHARS for w in missing) else map(memo.__getitem__, words), np.float64, len(words))
         return maximal_segments(scores), len(words)
 
     def statistic(self, text: str | None) -> float:
@@ -122,6 +125,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     known = known.withColumn("_fold", fold(F.col("_id"))).where("_fold <> 0").orderBy(F.xxhash64("_id"), "_id").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", "text", F.col("_toxic").alias("toxic"), F.col("_fold").alias("fold"))
 
+    @lean
     def family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             least = [min(shingle_set(x.as_py()).view(np.int64).tolist(), default=0) for x in batch.column(1)]
@@ -151,6 +155,7 @@ def without_near_copies(rows: pd.DataFrame) -> pd.DataFrame:
 def count_features(rows: DataFrame) -> DataFrame:
     """bucket, toxic, n: documents of the sample with the bucket; -1 - toxic: documents. Summed in each task first."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros((2, 1 << FEATURES_LOG2), np.int64), [0, 0]
         for batch in batches:
@@ -241,6 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     model.rate = solve_rate(np.concatenate([model.scores[model.scores > 0].astype(float), [DRIFT]]), np.concatenate([hits + 0.1, [rest + 1.0]]))
     shared = spark.sparkContext.broadcast(model)
 
+    @lean
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
@@ -254,6 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         model.scale = float(((x.over or 0) + 0.5) / (x.words * math.exp(-model.rate * level)))
     shared = spark.sparkContext.broadcast(model)
 
+    @lean
     def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
@@ -272,6 +279,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str], segments: bo
     rows = docs.select(*keep, "text")
     fields = rows.select(*keep).schema
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         m = scorer.model
@@ -294,14 +302,15 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str], segments: bo
 
 
 def clean_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows not predicted toxic, with all their columns: a filter within the scan, without a shuffle."""
-    shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
-    at = docs.columns.index("text")
+    """The rows not predicted toxic, with all their columns: a filter within the scan, without a shuffle. Only texts go to
+    the workers."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         m = scorer.model
-        for batch in batches:
-            yield batch.filter(pa.array([m.a + m.b * min(BIN * BINS, scorer.statistic(x.as_py())) < 0 for x in batch.column(at)], pa.bool_()))
+        for batch in texts:
+            yield pa.array([m.a + m.b * min(BIN * BINS, scorer.statistic(x.as_py())) < 0 for x in batch], pa.bool_())
 
-    return docs.mapInArrow(run, schema)
+    return docs.where(clean(docs["text"]))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
+from .hashing import lean
 from .textstats import text_stats
 
 SAMPLE_ROWS = 6_000
@@ -113,6 +114,7 @@ def weak_label_scores(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFr
     """doc_id, posterior (of good, by votes), score (of good, by the scorer), kept."""
     spark = docs.sparkSession
 
+    @lean
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([pattern(votes(x.as_py())) for x in batch.column(0)], pa.int32())], ["pattern"])
@@ -128,6 +130,7 @@ def weak_label_scores(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFr
     weights, bias = train(texts, np.array([posterior.get(pattern(votes(t)), share) for t in texts]))
     shared = spark.sparkContext.broadcast((weights, bias, posterior, share))
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias, posterior, share = shared.value
         for batch in batches:

@@ -363,7 +363,7 @@ def test_lm_scores(docs, rows):
             n = bi[pair] - b[pair] if i else 0
             s += math.log(n / (uni[t[i - 1]] - u[t[i - 1]])) if n else math.log(one) + (math.log(0.4) if i else 0)
         want.append((-1 if r[0] is None else r[0], len(t), round(s, 6)))
-    got = [(-1 if x.doc_id is None else x.doc_id, x.n_words, round(x.log_score, 6)) for x in lm.lm_scores(docs).collect()]
+    got = [(-1 if x.doc_id is None else x.doc_id, x.n_words, round(x.log_score, 6)) for x in lm.lm_scores(docs, 2).collect()]
     for a, b in zip(sorted(got), sorted(want), strict=True):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], abs_tol=1e-5)
 
