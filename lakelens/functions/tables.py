@@ -29,13 +29,13 @@ def table_plan(spark: SparkSession, path: str, *, snapshot_id: int | None = None
 def scan(spark: SparkSession, path: str, *, mode: str = "default", allow_moved_paths: bool | None = None, **options) -> DataFrame:
     """The table's rows at a snapshot (latest, by id, or as of a time); with mode='list_files', its files instead."""
     if allow_moved_paths is not None and path.endswith(".json"):
-        raise InvalidInputError("Enabling allow_moved_paths is not enabled for directly scanning metadata files.")
+        raise InvalidInputError("allow_moved_paths needs the table's folder, not a metadata file")
     plan = table_plan(spark, path, allow_moved_paths=allow_moved_paths, **options)
     if mode == "list_files":
         rows = [(plan.path(e.file_path), kind) for c, kind in ((0, "data"), (1, "delete")) for e in plan.entries(c)]
         return spark.createDataFrame(rows, "file string, type string")
     if mode != "default":
-        raise NotSupportedError(f"Unknown mode type for ICEBERG_SCAN bind : '{mode}'")
+        raise NotSupportedError(f"Unknown mode: '{mode}'")
     return scan_plan(spark, plan)
 
 
@@ -53,7 +53,12 @@ def snapshots(spark: SparkSession, path: str, *, skip_schema_inference: bool = F
 
 
 FUNCTIONS = {"lake_scan": scan, "lake_metadata": metadata, "lake_snapshots": snapshots}
-CALL = re.compile(rf"\b({'|'.join(FUNCTIONS)})\s*\(((?:[^()']|'(?:[^']|'')*'|\([^()]*\))*)\)", re.IGNORECASE)
+#: Calls, after what may hold the text of one without being one: strings, quoted names and comments.
+CALL = re.compile(
+    r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|"""
+    rf"\b({'|'.join(FUNCTIONS)})\s*\(((?:[^()']|'(?:[^']|'')*'|\([^()]*\))*)\)",
+    re.IGNORECASE | re.DOTALL,
+)
 ARGUMENT = re.compile(r"""\s*(?:(\w+)\s*(?:=>|:=|=)\s*)?(?:(?:TIMESTAMP\s+)('(?:[^']|'')*')|('(?:[^']|'')*')(?:\s*::\s*(TIMESTAMP))?|(\d+)|(true|false))(?:\s*::\s*\w+)?\s*(?:,|$)""", re.IGNORECASE)
 
 
@@ -84,7 +89,11 @@ def sql(spark: SparkSession, query: str, **tables) -> DataFrame:
     SELECT * FROM lake_scan('path', TIMESTAMP '2023-02-15 15:07:54.504')
     """
 
+    views = []
+
     def planned(m: re.Match) -> str:
+        if m[1] is None:
+            return m[0]
         name = m[1].lower()
         args, named = arguments(m[2], name)
         if not args or not isinstance(args[0], str) or len(args) > (1 if name == "lake_snapshots" else 2):
@@ -97,13 +106,20 @@ def sql(spark: SparkSession, query: str, **tables) -> DataFrame:
             raise InvalidInputError(f"{name}: {e}") from e
         view = f"__{name}_{uuid.uuid4().hex}"
         df.createOrReplaceTempView(view)
+        views.append(view)
         return view
 
-    return spark.sql(CALL.sub(planned, query), **tables)
+    try:
+        return spark.sql(CALL.sub(planned, query), **tables)
+    finally:  # the plan holds what the views stood for
+        for view in views:
+            spark.catalog.dropTempView(view)
 
 
 def register(spark: SparkSession) -> None:
-    """Prepares a session: reader settings, and the version-guessing setting at its default."""
+    """Prepares a session: reader settings, times in UTC, and the version-guessing setting at its default. A scan alone
+    leaves the session's time zone as it is."""
     prepare(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if spark.conf.get(GUESSING, None) is None:
         spark.conf.set(GUESSING, "false")

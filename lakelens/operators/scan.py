@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.snapshot import TablePlan, check_readable
-from ..sources.files import Files
+from ..sources.files import Files, literal
 from ..sources.schema import has_uuid
 
 #: Deletes are broadcast up to this many bytes, as their manifests count them.
 BROADCAST_BYTES = 64 << 20
 DELETE_ROW_BYTES = 160
-SETTINGS = {"spark.sql.parquet.fieldId.read.enabled": "true", "spark.sql.timeType.enabled": "true", "spark.sql.session.timeZone": "UTC"}
+SETTINGS = {"spark.sql.parquet.fieldId.read.enabled": "true", "spark.sql.timeType.enabled": "true"}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -56,12 +56,12 @@ def read_data(spark: SparkSession, plan: TablePlan, files: list[str], helpers: l
     """The data files with helper columns, and the projection to the table's columns."""
     columns = plan.metadata.columns
     if columns is None:  # by the names in the first file
-        schema = spark.read.parquet(files[0]).schema
+        schema = spark.read.parquet(literal(files[0])).schema
         stored = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-        df = spark.read.schema(stored).parquet(*files)
+        df = spark.read.schema(stored).parquet(*map(literal, files))
         return df.select(*[F.col(f"`{f.name}`") for f in stored], *helpers), [F.col(f"`{f.name}`") for f in stored]
     stored = T.StructType([T.StructField(f"__fid_{c.id}", c.stored, True, {"parquet.field.id": c.id}) for c in columns])
-    df = spark.read.schema(stored).parquet(*files).select(*stored.names, *helpers)
+    df = spark.read.schema(stored).parquet(*map(literal, files)).select(*stored.names, *helpers)
     return df, [shown(F.col(f"__fid_{c.id}"), c.type).alias(c.name) for c in columns]
 
 
@@ -82,7 +82,7 @@ def scan_plan(spark: SparkSession, plan: TablePlan) -> DataFrame:
         df, final = read_data(spark, plan, data, [])
         return df.select(*final)
     df, final = read_data(spark, plan, data, [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")])
-    gone, files = spark.read.schema("file_path string, pos long").parquet(*deletes), Files(spark)
+    gone, files = spark.read.schema("file_path string, pos long").parquet(*map(literal, deletes)), Files(spark)
     if plan.moved:
         # stored folders are those before the move, so only file names are compared
         names = {(p.rsplit("/", 1)[-1], files.uri(p).rsplit("/", 1)[-1]) for p in data}

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from ..errors import NotSupportedError, TableIOError
 from ..sources import avro
-from ..sources.files import Files
+from ..sources.files import Files, literal
 from ..sources.metadata import Options, Snapshot, TableMetadata, full_path, load
 
 MANIFEST_CONTENT = ("DATA", "DELETE")
@@ -119,7 +119,7 @@ def read_entries(spark: SparkSession, paths: list[str]) -> list[list[Entry]]:
                     rows = [(path, 0, None, None, None, None, None, str(e))]
                 yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in ENTRY_DDL.split(", ")])
 
-    got = spark.read.format("binaryFile").load([p.replace("{", "\\{").replace("[", "\\[").replace("*", "\\*") for p in paths]).select("path", "content").mapInPandas(decode, ENTRY_DDL)
+    got = spark.read.format("binaryFile").load([literal(p) for p in paths]).select("path", "content").mapInPandas(decode, ENTRY_DDL)
     files, by = Files(spark), {}
     for r in got.toLocalIterator():
         if r.error is not None:

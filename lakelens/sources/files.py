@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -64,7 +65,16 @@ class Files:
         return fs.makeQualified(p).toUri().toString()
 
 
+def literal(path: str) -> str:
+    """A path as Spark's readers must get it, which take it for a pattern."""
+    return re.sub(r"([\\{\[*?])", r"\\\1", path)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder beside the session's checkpoints; a temporary one only where the session names none."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lakelens-")
+    """A new folder beside the session's checkpoints. Where the session names none, a local master gets a temporary one."""
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="lakelens-")
     return f"{root}/{name}-{uuid.uuid4().hex}"

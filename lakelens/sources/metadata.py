@@ -75,7 +75,7 @@ def guessed_version(files: Files, folder: str, options: Options) -> str:
     for f in options.formats:
         if found := files.glob(f"{folder}/{fill(f, '*', options.suffix)}"):
             return max(found)
-    raise TableIOError(f"Could not guess Iceberg table version using '{options.metadata_compression_codec}' compression and format(s): '{options.version_name_format}'")
+    raise TableIOError(f"No metadata file matches {options.version_name_format!r} with compression {options.metadata_compression_codec!r}, so no version can be guessed")
 
 
 def hinted(files: Files, path: str) -> str:
@@ -100,7 +100,7 @@ def metadata_file(spark: SparkSession, table: str, options: Options) -> str:
     if files.exists(hint):
         return named_version(files, folder, hinted(files, hint), options)
     if str(spark.conf.get(GUESSING, "false")).lower() not in ("true", "1"):
-        raise InvalidInputError(f"Failed to read iceberg table. No version was provided and no version-hint could be found, globbing the filesystem to locate the latest version is disabled by default as this is considered unsafe and could result in reading uncommitted data. To enable this use 'SET {GUESSING} = true;'")
+        raise InvalidInputError("The table has no version hint and none was given. To take the last metadata file by name: SET unsafe_enable_version_guessing = true")
     return guessed_version(files, folder, options)
 
 
@@ -134,7 +134,7 @@ def parse(doc: dict, path: str = "", skip_schema: bool = False) -> TableMetadata
 
 def snapshot(doc, version: int) -> Snapshot:
     if not isinstance(doc, dict):
-        raise TableIOError("Invalid snapshot field found parsing iceberg metadata.json")
+        raise TableIOError("A snapshot in the metadata file has a missing or wrong field")
     sequence = 0 if version == 1 else field(doc, "sequence-number", int)
     return Snapshot(sequence, field(doc, "snapshot-id", int), field(doc, "timestamp-ms", int), field(doc, "manifest-list", str))
 
@@ -145,4 +145,4 @@ def full_path(stored: str, root: str) -> str:
         at = stored.rfind(mark)
         if at >= 0:
             return root.rstrip("/") + stored[at:]
-    raise TableIOError(f"Did not recognize iceberg path: {stored}")
+    raise TableIOError(f"A moved path needs a data or metadata folder in it: {stored}")

@@ -40,7 +40,7 @@ def field(doc, name: str, kind: type):
     """A typed member of a JSON object; missing or of another type is an error."""
     value = doc.get(name) if isinstance(doc, dict) else None
     if not isinstance(value, kind) or (kind is int and isinstance(value, bool)):
-        raise TableIOError(f"Invalid field found while parsing field: {name}")
+        raise TableIOError(f"A field of the metadata has a missing or wrong member: {name}")
     return value
 
 
@@ -53,9 +53,9 @@ def spark_type(kind) -> T.DataType:
                 return T.ArrayType(spark_type(kind.get("element")), True)
             case "map":
                 return T.MapType(spark_type(kind.get("key")), spark_type(kind.get("value")), True)
-        raise TableIOError("Invalid field found while parsing field: type")
+        raise TableIOError("A field of the metadata has a missing or wrong member: type")
     if not isinstance(kind, str):
-        raise TableIOError("Invalid field found while parsing field: type")
+        raise TableIOError("A field of the metadata has a missing or wrong member: type")
     if kind in PRIMITIVES:
         return PRIMITIVES[kind]
     if kind == "time":
@@ -64,7 +64,7 @@ def spark_type(kind) -> T.DataType:
         return T.BinaryType()
     if m := re.fullmatch(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)", kind):
         return T.DecimalType(int(m[1]), int(m[2]))
-    raise TableIOError(f'Encountered an unrecognized type in JSON schema: "{kind}"')
+    raise TableIOError(f'Unknown type in the schema: "{kind}"')
 
 
 def has_uuid(kind) -> bool:
@@ -76,7 +76,7 @@ def has_uuid(kind) -> bool:
 
 def columns(schema: dict) -> list[Column]:
     if not isinstance(schema, dict) or schema.get("type") != "struct":
-        raise TableIOError("Schema in JSON Metadata is invalid")
+        raise TableIOError("The current schema is not a struct of fields")
     out = []
     for f in field(schema, "fields", list):
         c = Column(field(f, "id", int), field(f, "name", str), f.get("type"), field(f, "required", bool))
@@ -89,4 +89,4 @@ def current_columns(schemas: list[dict], schema_id: int) -> list[Column]:
     for s in schemas:
         if field(s, "schema-id", int) == schema_id:
             return columns(s)
-    raise TableIOError(f"Iceberg schema with schema id {schema_id} was not found!")
+    raise TableIOError(f"The metadata has no schema of schema-id {schema_id}")

@@ -56,7 +56,7 @@ def test_moved_paths(spark, tmp_path):
     b.commit()
     assert lakelens.scan(spark, b.root, allow_moved_paths=True).count() == 15
     assert lakelens.metadata(spark, b.root, allow_moved_paths=True).first().file_path == "s3://old/place/data/x y.parquet"
-    with pytest.raises(InvalidInputError, match="allow_moved_paths is not enabled for directly scanning"):
+    with pytest.raises(InvalidInputError, match="allow_moved_paths needs the table"):
         lakelens.scan(spark, f"{b.root}/metadata/v1.metadata.json", allow_moved_paths=False)
 
 
@@ -74,7 +74,7 @@ def test_errors(spark, tmp_path):
             lakelens.scan(spark, b.root, snapshot_id=s)
     empty = lakelens.scan(spark, b.root, snapshot_id=3)
     assert empty.columns == ["id", "name", "v"] and empty.count() == 0
-    with pytest.raises(NotSupportedError, match="Unknown mode type"):
+    with pytest.raises(NotSupportedError, match="Unknown mode"):
         lakelens.scan(spark, b.root, snapshot_id=3, mode="x")
     with pytest.raises(InvalidInputError):
         lakelens.scan(spark, b.root, snapshot_id=3, as_of=Q.at(1))
@@ -147,3 +147,26 @@ def test_random_history(spark, seed):
         b.commit(f"v{step}", str(step))
     got = {x[0]: (x[1], x[2]) for x in lakelens.scan(spark, b.root).collect()}
     assert got == model
+
+
+def test_sql_leaves_strings_and_session_alone(spark):
+    """The text of a call inside a string or a comment is not a call, no view stays behind, and a scan keeps the time zone."""
+    got = lakelens.sql(spark, "SELECT 'see lake_scan(''x'')' AS a, \"lake_scan('y')\" AS b -- lake_scan('z')")
+    assert got.first() == ("see lake_scan('x')", "lake_scan('y')")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("__lake")]
+    from lakelens.operators.scan import prepare
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        prepare(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    from lakelens.sources.files import literal
+
+    path = str(tmp_path / "a[1]{x}*.parquet")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(literal(path)).count() == 3
