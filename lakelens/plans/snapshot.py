@@ -20,7 +20,14 @@ STATUS = ("EXISTING", "ADDED", "DELETED")
 CONTENT = ("EXISTING", "POSITION_DELETES", "EQUALITY_DELETES")
 #: More manifests than this are decoded on the executors.
 DRIVER_MANIFESTS = 16
-ENTRY_DDL = "manifest string, at long, status int, content int, file_path string, file_format string, record_count long, error string"
+ENTRY_DDL = "manifest string, at long, status int, content int, file_path string, file_format string, record_count long, low binary, high binary, error string"
+#: What is decoded of manifest lists and manifests; the rest, column statistics above all, is passed over.
+LISTED = dict.fromkeys(("manifest_path", "sequence_number", "content"))
+FILE = dict.fromkeys(("content", "file_path", "file_format", "record_count"))
+ENTRIES = {"status": None, "data_file": FILE}
+#: A position-delete file's bounds say which data files it can name (fixed value: the id of its file_path column).
+DELETE_ENTRIES = {"status": None, "data_file": FILE | dict.fromkeys(("lower_bounds", "upper_bounds"))}
+PATH_ID = 2147483546
 
 
 @dataclass(frozen=True)
@@ -30,6 +37,8 @@ class Entry:
     file_path: str
     file_format: str
     record_count: int
+    low: bytes | None = None  # of a delete file: least and greatest data file it can name, where its manifest says so
+    high: bytes | None = None
 
 
 @dataclass(frozen=True)
@@ -100,23 +109,24 @@ def choose(metadata: TableMetadata, snapshot_id: int | None, as_of: dt.datetime
 
 def entry_row(record: dict) -> tuple:
     f = record["data_file"]
-    return record["status"], f.get("content") or 0, f["file_path"], f["file_format"], f["record_count"]
+    low, high = ((next((x["value"] for x in f.get(k) or [] if x["key"] == PATH_ID), None)) for k in ("lower_bounds", "upper_bounds"))
+    return record["status"], f.get("content") or 0, f["file_path"], f["file_format"], f["record_count"], low, high
 
 
-def read_entries(spark: SparkSession, paths: list[str]) -> list[list[Entry]]:
+def read_entries(spark: SparkSession, paths: list[str], contents: list[int]) -> list[list[Entry]]:
     """The entries of each manifest, in order. Many manifests are decoded by tasks, a file each."""
     if len(paths) <= DRIVER_MANIFESTS:
         files = Files(spark)
-        return [[Entry(*entry_row(r)) for r in decoded(files.read(p), p)] for p in paths]
+        return [[Entry(*entry_row(r)) for r in decoded(files.read(p), p, DELETE_ENTRIES if c else ENTRIES)] for p, c in zip(paths, contents, strict=True)]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 try:
-                    none = (path, -1, *[None] * 6)  # so that a manifest without entries is told from a missing one
-                    rows = [none, *((path, i, *entry_row(r), None) for i, r in enumerate(avro.read(bytes(content))))]
+                    none = (path, -1, *[None] * 8)  # so that a manifest without entries is told from a missing one
+                    rows = [none, *((path, i, *entry_row(r), None) for i, r in enumerate(avro.read(bytes(content), DELETE_ENTRIES)))]
                 except (TableIOError, KeyError, TypeError) as e:
-                    rows = [(path, 0, None, None, None, None, None, str(e))]
+                    rows = [(path, 0, *[None] * 7, str(e))]
                 yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in ENTRY_DDL.split(", ")])
 
     got = spark.read.format("binaryFile").load([literal(p) for p in paths]).select("path", "content").mapInPandas(decode, ENTRY_DDL)
@@ -124,7 +134,7 @@ def read_entries(spark: SparkSession, paths: list[str]) -> list[list[Entry]]:
     for r in got.toLocalIterator():
         if r.error is not None:
             raise TableIOError(f'Cannot read manifest "{r.manifest}": {r.error}')
-        by.setdefault(r.manifest, []).append((r.at, Entry(r.status, r.content, r.file_path, r.file_format, r.record_count)))
+        by.setdefault(r.manifest, []).append((r.at, Entry(r.status, r.content, r.file_path, r.file_format, r.record_count, r.low and bytes(r.low), r.high and bytes(r.high))))
     plain = lambda path: path.replace("file:///", "file:/")
     by = {plain(k): [e for i, e in sorted(v, key=lambda x: x[0]) if i >= 0] for k, v in by.items()}
     keys = [plain(files.qualified(p)) for p in paths]
@@ -133,9 +143,9 @@ def read_entries(spark: SparkSession, paths: list[str]) -> list[list[Entry]]:
     return [by[k] for k in keys]
 
 
-def decoded(data: bytes, path: str) -> list[dict]:
+def decoded(data: bytes, path: str, wanted: dict) -> list[dict]:
     try:
-        return avro.read(data)
+        return avro.read(data, wanted)
     except TableIOError as e:
         raise TableIOError(f'Cannot read "{path}": {e}') from e
 
@@ -149,8 +159,8 @@ def plan_table(spark: SparkSession, path: str, options: Options, snapshot_id: in
     files = Files(spark)
     if not files.exists(at):
         raise TableIOError(f'Cannot open "{at}": No such file')
-    listed = decoded(files.read(at), at)
-    entries = read_entries(spark, [relocate(m["manifest_path"]) for m in listed])
+    listed = decoded(files.read(at), at, LISTED)
+    entries = read_entries(spark, [relocate(m["manifest_path"]) for m in listed], [m.get("content") or 0 for m in listed])
     manifests = [Manifest(m["manifest_path"], m.get("sequence_number") or 0, m.get("content") or 0, e) for m, e in zip(listed, entries, strict=True)]
     return TablePlan(path, metadata, chosen, manifests, moved)
 

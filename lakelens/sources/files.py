@@ -65,6 +65,25 @@ class Files:
         return fs.makeQualified(p).toUri().toString()
 
 
+    def uris(self, paths: list[str]) -> list[str]:
+        """uri of many paths: the file system is asked once for each scheme and authority, and for names a URI would change."""
+        roots: dict[str, str] = {}
+        out = []
+        for path in paths:
+            m = PLAIN.fullmatch(path)
+            if not m or "/." in path:
+                out.append(self.uri(path))
+                continue
+            if m[1] not in roots:
+                roots[m[1]] = self.uri(f"{m[1]}/x")[:-2]
+            out.append(roots[m[1]] + m[2])
+        return out
+
+
+#: Scheme and authority, and a path of characters that stand for themselves in a URI.
+PLAIN = re.compile(r"((?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?)((?:/[A-Za-z0-9_.=+@,~-]+)+)")
+
+
 def literal(path: str) -> str:
     """A path as Spark's readers must get it, which take it for a pattern."""
     return re.sub(r"([\\{\[*?])", r"\\\1", path)
