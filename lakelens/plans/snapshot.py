@@ -7,12 +7,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import NotSupportedError, TableIOError
 from ..sources import avro
-from ..sources.files import Files, literal
-from ..sources.metadata import Options, Snapshot, TableMetadata, full_path, load
+from ..sources.files import Files, WorkerFiles, literal
+from ..sources.metadata import Options, Snapshot, TableMetadata, full_path, load, may_guess
 
 MANIFEST_CONTENT = ("DATA", "DELETE")
 STATUS = ("EXISTING", "ADDED", "DELETED")
@@ -113,10 +113,9 @@ def entry_row(record: dict) -> tuple:
     return record["status"], f.get("content") or 0, f["file_path"], f["file_format"], f["record_count"], low, high
 
 
-def read_entries(spark: SparkSession, paths: list[str], contents: list[int]) -> list[list[Entry]]:
-    """The entries of each manifest, in order. Many manifests are decoded by tasks, a file each."""
-    if len(paths) <= DRIVER_MANIFESTS:
-        files = Files(spark)
+def read_entries(files: Files | WorkerFiles, paths: list[str], contents: list[int], spark: SparkSession | None = None) -> list[list[Entry]]:
+    """The entries of each manifest, in order. With a session, many manifests are decoded by tasks, a file each."""
+    if spark is None or len(paths) <= DRIVER_MANIFESTS:
         return [[Entry(*entry_row(r)) for r in decoded(files.read(p), p, DELETE_ENTRIES if c else ENTRIES)] for p, c in zip(paths, contents, strict=True)]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,12 +129,11 @@ def read_entries(spark: SparkSession, paths: list[str], contents: list[int]) ->
                 yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in ENTRY_DDL.split(", ")])
 
     got = spark.read.format("binaryFile").load([literal(p) for p in paths]).select("path", "content").mapInPandas(decode, ENTRY_DDL)
-    files, by = Files(spark), {}
+    by = {}
     for r in got.toLocalIterator():
         if r.error is not None:
             raise TableIOError(f'Cannot read manifest "{r.manifest}": {r.error}')
         by.setdefault(r.manifest, []).append((r.at, Entry(r.status, r.content, r.file_path, r.file_format, r.record_count, r.low and bytes(r.low), r.high and bytes(r.high))))
-    plain = lambda path: path.replace("file:///", "file:/")
     by = {plain(k): [e for i, e in sorted(v, key=lambda x: x[0]) if i >= 0] for k, v in by.items()}
     keys = [plain(files.qualified(p)) for p in paths]
     if missing := [p for p, k in zip(paths, keys, strict=True) if k not in by]:
@@ -143,6 +141,30 @@ def read_entries(spark: SparkSession, paths: list[str], contents: list[int]) ->
     return [by[k] for k in keys]
 
 
+def plain(path: str) -> str:
+    return path.replace("file:///", "file:/")
+
+
+def entry_frame(spark: SparkSession, listed: ListedSnapshot, ddl: str) -> DataFrame:
+    """Rows of the columns in ddl for all entries of a snapshot, from the tasks that decode them: none pass the driver."""
+    files = Files(spark)
+    known = {plain(files.qualified(listed.path(m["manifest_path"]))): m for m in listed.manifests}
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                m = known[plain(path)]
+                entries = [Entry(*entry_row(r)) for r in decoded(bytes(content), path, ENTRIES)]
+                yield pd.DataFrame([entry_columns(m, e) for e in entries], columns=[x.split(" ")[0] for x in ddl.split(", ")])
+
+    return spark.read.format("binaryFile").load([literal(p) for p in known]).select("path", "content").mapInPandas(decode, ddl)
+
+
+def entry_columns(m: dict, e: Entry) -> tuple:
+    """A manifest entry as the metadata function shows it."""
+    return m["manifest_path"], m.get("sequence_number") or 0, MANIFEST_CONTENT[m.get("content") or 0], STATUS[e.status], CONTENT[e.content], e.file_path, e.file_format, e.record_count
+
+
 def decoded(data: bytes, path: str, wanted: dict) -> list[dict]:
     try:
         return avro.read(data, wanted)
@@ -150,19 +172,39 @@ def decoded(data: bytes, path: str, wanted: dict) -> list[dict]:
         raise TableIOError(f'Cannot read "{path}": {e}') from e
 
 
-def plan_table(spark: SparkSession, path: str, options: Options, snapshot_id: int | None = None, as_of: dt.datetime | None = None) -> TablePlan:
-    metadata = load(spark, path, options)
+@dataclass(frozen=True)
+class ListedSnapshot:
+    """A snapshot with its manifest list's records; the manifests are not read yet."""
+
+    root: str
+    metadata: TableMetadata
+    snapshot: Snapshot
+    manifests: list[dict]
+    moved: bool
+
+    def path(self, stored: str) -> str:
+        return full_path(stored, self.root) if self.moved else stored
+
+
+def list_manifests(files: Files | WorkerFiles, guessing: bool, path: str, options: Options, snapshot_id: int | None = None, as_of: dt.datetime | None = None) -> ListedSnapshot:
+    metadata = load(files, guessing, path, options)
     chosen = choose(metadata, snapshot_id, as_of)
     moved = bool(options.allow_moved_paths)
-    relocate = lambda p: full_path(p, path) if moved else p
-    at = relocate(chosen.manifest_list)
-    files = Files(spark)
+    at = full_path(chosen.manifest_list, path) if moved else chosen.manifest_list
     if not files.exists(at):
         raise TableIOError(f'Cannot open "{at}": No such file')
-    listed = decoded(files.read(at), at, LISTED)
-    entries = read_entries(spark, [relocate(m["manifest_path"]) for m in listed], [m.get("content") or 0 for m in listed])
-    manifests = [Manifest(m["manifest_path"], m.get("sequence_number") or 0, m.get("content") or 0, e) for m, e in zip(listed, entries, strict=True)]
-    return TablePlan(path, metadata, chosen, manifests, moved)
+    return ListedSnapshot(path, metadata, chosen, decoded(files.read(at), at, LISTED), moved)
+
+
+def with_entries(files: Files | WorkerFiles, of: ListedSnapshot, spark: SparkSession | None = None) -> TablePlan:
+    entries = read_entries(files, [of.path(m["manifest_path"]) for m in of.manifests], [m.get("content") or 0 for m in of.manifests], spark)
+    manifests = [Manifest(m["manifest_path"], m.get("sequence_number") or 0, m.get("content") or 0, e) for m, e in zip(of.manifests, entries, strict=True)]
+    return TablePlan(of.root, of.metadata, of.snapshot, manifests, of.moved)
+
+
+def plan_table(spark: SparkSession, path: str, options: Options, snapshot_id: int | None = None, as_of: dt.datetime | None = None) -> TablePlan:
+    files = Files(spark)
+    return with_entries(files, list_manifests(files, may_guess(spark), path, options, snapshot_id, as_of), spark)
 
 
 def check_readable(plan: TablePlan) -> None:

@@ -80,6 +80,44 @@ class Files:
         return out
 
 
+class WorkerFiles:
+    """The reading half of Files where there is no JVM: table functions run in workers. Arrow's file systems open the paths."""
+
+    @staticmethod
+    def at(path: str):
+        from pyarrow import fs
+
+        if not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", path):
+            return fs.LocalFileSystem(), path
+        if path.startswith("file:"):
+            return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+
+    def kind(self, path: str):
+        store, p = self.at(path)
+        return store.get_file_info(p).type.name
+
+    def exists(self, path: str) -> bool:
+        return self.kind(path) != "NotFound"
+
+    def is_dir(self, path: str) -> bool:
+        return self.kind(path) == "Directory"
+
+    def glob(self, pattern: str) -> list[str]:
+        """Names that match in one folder; only the last part of a pattern holds asterisks."""
+        from pyarrow import fs
+
+        folder, _, last = pattern.rpartition("/")
+        store, p = self.at(folder)
+        wanted = re.compile(".*".join(map(re.escape, last.split("*"))), re.DOTALL)
+        return [f"{folder}/{x.base_name}" for x in store.get_file_info(fs.FileSelector(p)) if wanted.fullmatch(x.base_name)]
+
+    def read(self, path: str) -> bytes:
+        store, p = self.at(path)
+        with store.open_input_stream(p, compression=None) as stream:
+            return stream.read()
+
+
 #: Scheme and authority, and a path of characters that stand for themselves in a URI.
 PLAIN = re.compile(r"((?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?)((?:/[A-Za-z0-9_.=+@,~-]+)+)")
 

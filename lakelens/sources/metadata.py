@@ -10,7 +10,7 @@ from dataclasses import dataclass, field as data_field
 from pyspark.sql import SparkSession
 
 from ..errors import InvalidInputError, NotSupportedError, TableIOError
-from .files import Files
+from .files import Files, WorkerFiles
 from .schema import Column, current_columns, field
 
 UNKNOWN_VERSION = "?"
@@ -84,9 +84,8 @@ def hinted(files: Files, path: str) -> str:
     return files.read(path).decode().strip()
 
 
-def metadata_file(spark: SparkSession, table: str, options: Options) -> str:
-    """The metadata file that a table path, a version and the session setting lead to."""
-    files = Files(spark)
+def resolved(files: Files | WorkerFiles, guessing: bool, table: str, options: Options) -> str:
+    """The metadata file that a table path, a version and the guessing setting lead to."""
     if table.endswith(".json"):
         return table
     folder = f"{table.rstrip('/')}/metadata"
@@ -99,14 +98,21 @@ def metadata_file(spark: SparkSession, table: str, options: Options) -> str:
     hint = f"{folder}/version-hint.text"
     if files.exists(hint):
         return named_version(files, folder, hinted(files, hint), options)
-    if str(spark.conf.get(GUESSING, "false")).lower() not in ("true", "1"):
+    if not guessing:
         raise InvalidInputError("The table has no version hint and none was given. To take the last metadata file by name: SET unsafe_enable_version_guessing = true")
     return guessed_version(files, folder, options)
 
 
-def load(spark: SparkSession, table: str, options: Options) -> TableMetadata:
-    path = metadata_file(spark, table, options)
-    files = Files(spark)
+def may_guess(spark: SparkSession) -> bool:
+    return str(spark.conf.get(GUESSING, "false")).lower() in ("true", "1")
+
+
+def metadata_file(spark: SparkSession, table: str, options: Options) -> str:
+    return resolved(Files(spark), may_guess(spark), table, options)
+
+
+def load(files: Files | WorkerFiles, guessing: bool, table: str, options: Options) -> TableMetadata:
+    path = resolved(files, guessing, table, options)
     if not files.exists(path):
         raise TableIOError(f'Cannot open "{path}": No such file')
     try:

@@ -1,6 +1,7 @@
 """Scans of built tables: deletes, moves, evolution, plans, errors; random histories against a model."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,10 @@ from pyspark.sql import functions as F
 import lakelens
 from lakelens import queries as Q
 from lakelens.errors import InvalidInputError, NotSupportedError, TableIOError
+from lakelens.functions import tables as functions
+from lakelens.operators import scan as scans
 from lakelens.plans import snapshot as plans
+from lakelens.sources import avro
 from lakelens.sources.files import shared_folder
 from lakelens.testing.builder import TableBuilder
 
@@ -170,3 +174,69 @@ def test_names_that_look_like_patterns(spark, tmp_path):
     path = str(tmp_path / "a[1]{x}*.parquet")
     spark.range(3).write.parquet(path)
     assert spark.read.parquet(literal(path)).count() == 3
+
+
+def test_files_outside_delete_bounds_are_not_joined(spark, tmp_path):
+    b = table(spark, tmp_path)
+    entries = b.write_files(rows(spark, 90), [f"{k}.parquet" for k in range(3)], Q.ids(COLUMNS))
+    gone = b.write_deletes([(entries[1], b.read_rows(entries[1]).where("__pos % 2 = 0"))], "d.parquet")
+    b.snapshot(1, 1000, [b.manifest("m.avro", [(1, e) for e in entries]), b.manifest("d.avro", [(1, gone)], content=1)])
+    b.commit()
+    expected = {tuple(r) for r in lakelens.scan(spark, b.root).collect()}
+    plan = functions.table_plan(spark, b.root)
+    name = entries[1]["file_path"].encode()
+    bounded = [replace(m, entries=[replace(e, low=name, high=name) if e.content else e for e in m.entries]) for m in plan.manifests]
+    plan = replace(plan, manifests=bounded)
+    assert scans.touched(plan, plan.entries(0)) == [False, True, False]
+    df = scans.scan_plan(spark, plan)
+    assert {tuple(r) for r in df.collect()} == expected and len(expected) == 90 - (entries[1]["record_count"] + 1) // 2
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("LeftAnti") == 1
+
+
+def test_keys_of_files_are_apart():
+    names = {f"s3a://b/{k}.parquet" for k in range(5000)}
+    keys, bits, _ = scans.file_keys(names, 1 << 20)
+    assert len({k >> bits for k in keys.values()}) == len(names) and bits >= 21 and all(-(1 << 63) <= k < 1 << 63 for k in keys.values())
+
+
+def test_deletes_above_the_broadcast_limit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scans, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(scans, "INLINE_FILES", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = table(spark, tmp_path)
+        entries = b.write_files(rows(spark, 500), ["a b.parquet", "c.parquet"], Q.ids(COLUMNS))
+        gone = b.write_deletes([(e, b.read_rows(e).where("__pos % 3 = 0")) for e in entries] * 2, "d.parquet")  # each twice
+        b.snapshot(1, 1000, [b.manifest("m.avro", [(1, e) for e in entries]), b.manifest("d.avro", [(1, gone)], content=1)])
+        b.commit()
+        df = lakelens.scan(spark, b.root)
+        assert df.count() == sum(e["record_count"] - (e["record_count"] + 2) // 3 for e in entries)
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_table_functions_of_plain_sql(spark, tmp_path):
+    b = table(spark, tmp_path, codec="deflate")
+    b.snapshot(7, 1000, [b.manifest("m.avro", [(1, e) for e in b.write_files(rows(spark, 5), ["a.parquet"], Q.ids(COLUMNS))])])
+    b.commit()
+    lakelens.register(spark)
+    for name, path in (("lake_snapshots", b.root), ("lake_metadata", b.root)):
+        for at in (path, f"{path}/metadata/v1.metadata.json"):
+            plain = spark.sql(f"SELECT * FROM {name}('{at}')")
+            ours = {"lake_snapshots": lakelens.snapshots, "lake_metadata": lakelens.metadata}[name](spark, at)
+            assert plain.schema == ours.schema and plain.collect() == ours.collect()
+    assert spark.sql(f"SELECT * FROM lake_snapshots('{b.root}', version => '1')").count() == 1
+    assert spark.sql(f"SELECT file_path FROM lake_metadata('{b.root}', 7) WHERE record_count = 5").count() == 1
+    with pytest.raises(Exception, match="Could not find snapshot with id 8"):
+        spark.sql(f"SELECT * FROM lake_metadata('{b.root}', 8)").collect()
+
+
+def test_avro_projection_skips_what_is_not_wanted():
+    inner = {"type": "record", "name": "i", "fields": [{"name": "a", "type": {"type": "array", "items": ["null", "bytes"]}}, {"name": "b", "type": "string"}]}
+    schema = {"type": "record", "name": "o", "fields": [{"name": "i", "type": inner}, {"name": "x", "type": "long"}, {"name": "y", "type": ["null", "string"]}]}
+    records = [{"i": {"a": [b"1", None, b""], "b": str(k)}, "x": -k, "y": None if k % 2 else "z"} for k in range(9)]
+    data = avro.write(schema, records)
+    assert avro.read(data) == records
+    assert avro.read(data, {"i": {"b": None}, "y": None}) == [{"i": {"b": r["i"]["b"]}, "y": r["y"]} for r in records]
