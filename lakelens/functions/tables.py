@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError, NotSupportedError
 from ..operators.scan import prepare, scan_plan
-from ..plans import snapshot as plans
-from ..plans.snapshot import TablePlan, entry_columns, entry_frame, list_manifests, plan_table, with_entries
+from ..plans.snapshot import TablePlan, entry_columns, entry_frame, few, list_manifests, plan_table, with_entries
 from ..sources.files import Files, WorkerFiles
 from ..sources.metadata import GUESSING, UNKNOWN_VERSION, VERSION_FORMATS, Options, load, may_guess
 
@@ -52,7 +51,7 @@ def metadata(spark: SparkSession, path: str, *, snapshot_id: int | None = None,
     not_both(snapshot_id, as_of)
     files, options = Files(spark), Options(allow_moved_paths, skip_schema_inference, metadata_compression_codec, version, version_name_format)
     listed = list_manifests(files, may_guess(spark), path, options, snapshot_id, as_of)
-    if len(listed.manifests) > plans.DRIVER_MANIFESTS:
+    if not few(listed.manifests):
         return entry_frame(spark, listed, METADATA_DDL)
     return spark.createDataFrame(metadata_rows(with_entries(files, listed)), METADATA_DDL)
 

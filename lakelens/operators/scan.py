@@ -60,7 +60,7 @@ def plain(uri: str) -> str:
 
 
 def basename(c: Column) -> Column:
-    return F.element_at(F.split(c, "/"), -1)
+    return F.substring_index(c, "/", -1)
 
 
 def quoted(name: str) -> str:

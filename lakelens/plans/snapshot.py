@@ -18,11 +18,11 @@ MANIFEST_CONTENT = ("DATA", "DELETE")
 STATUS = ("EXISTING", "ADDED", "DELETED")
 #: A data file's content prints as EXISTING.
 CONTENT = ("EXISTING", "POSITION_DELETES", "EQUALITY_DELETES")
-#: More manifests than this are decoded on the executors.
-DRIVER_MANIFESTS = 16
+#: More manifests than this, or more bytes of them, are decoded on the executors.
+DRIVER_MANIFESTS, DRIVER_BYTES = 64, 8 << 20
 ENTRY_DDL = "manifest string, at long, status int, content int, file_path string, file_format string, record_count long, low binary, high binary, error string"
 #: What is decoded of manifest lists and manifests; the rest, column statistics above all, is passed over.
-LISTED = dict.fromkeys(("manifest_path", "sequence_number", "content"))
+LISTED = dict.fromkeys(("manifest_path", "manifest_length", "sequence_number", "content"))
 FILE = dict.fromkeys(("content", "file_path", "file_format", "record_count"))
 ENTRIES = {"status": None, "data_file": FILE}
 #: A position-delete file's bounds say which data files it can name (fixed value: the id of its file_path column).
@@ -113,9 +113,13 @@ def entry_row(record: dict) -> tuple:
     return record["status"], f.get("content") or 0, f["file_path"], f["file_format"], f["record_count"], low, high
 
 
+def few(manifests: list[dict]) -> bool:
+    return len(manifests) <= DRIVER_MANIFESTS and sum(m.get("manifest_length") or 0 for m in manifests) <= DRIVER_BYTES
+
+
 def read_entries(files: Files | WorkerFiles, paths: list[str], contents: list[int], spark: SparkSession | None = None) -> list[list[Entry]]:
-    """The entries of each manifest, in order. With a session, many manifests are decoded by tasks, a file each."""
-    if spark is None or len(paths) <= DRIVER_MANIFESTS:
+    """The entries of each manifest, in order: decoded by tasks, a file each, where a session is given."""
+    if spark is None:
         return [[Entry(*entry_row(r)) for r in decoded(files.read(p), p, DELETE_ENTRIES if c else ENTRIES)] for p, c in zip(paths, contents, strict=True)]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,12 +134,12 @@ def read_entries(files: Files | WorkerFiles, paths: list[str], contents: list[in
 
     got = spark.read.format("binaryFile").load([literal(p) for p in paths]).select("path", "content").mapInPandas(decode, ENTRY_DDL)
     by = {}
-    for r in got.toLocalIterator():
+    for r in got.collect():  # one job for all: the plan holds every entry anyway
         if r.error is not None:
             raise TableIOError(f'Cannot read manifest "{r.manifest}": {r.error}')
         by.setdefault(r.manifest, []).append((r.at, Entry(r.status, r.content, r.file_path, r.file_format, r.record_count, r.low and bytes(r.low), r.high and bytes(r.high))))
     by = {plain(k): [e for i, e in sorted(v, key=lambda x: x[0]) if i >= 0] for k, v in by.items()}
-    keys = [plain(files.qualified(p)) for p in paths]
+    keys = list(map(plain, files.uris(paths, encoded=False)))
     if missing := [p for p, k in zip(paths, keys, strict=True) if k not in by]:
         raise TableIOError(f'Cannot open "{missing[0]}": No such file')
     return [by[k] for k in keys]
@@ -148,7 +152,8 @@ def plain(path: str) -> str:
 def entry_frame(spark: SparkSession, listed: ListedSnapshot, ddl: str) -> DataFrame:
     """Rows of the columns in ddl for all entries of a snapshot, from the tasks that decode them: none pass the driver."""
     files = Files(spark)
-    known = {plain(files.qualified(listed.path(m["manifest_path"]))): m for m in listed.manifests}
+    paths = files.uris([listed.path(m["manifest_path"]) for m in listed.manifests], encoded=False)
+    known = dict(zip(map(plain, paths), listed.manifests, strict=True))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -197,7 +202,7 @@ def list_manifests(files: Files | WorkerFiles, guessing: bool, path: str, option
 
 
 def with_entries(files: Files | WorkerFiles, of: ListedSnapshot, spark: SparkSession | None = None) -> TablePlan:
-    entries = read_entries(files, [of.path(m["manifest_path"]) for m in of.manifests], [m.get("content") or 0 for m in of.manifests], spark)
+    entries = read_entries(files, [of.path(m["manifest_path"]) for m in of.manifests], [m.get("content") or 0 for m in of.manifests], None if few(of.manifests) else spark)
     manifests = [Manifest(m["manifest_path"], m.get("sequence_number") or 0, m.get("content") or 0, e) for m, e in zip(of.manifests, entries, strict=True)]
     return TablePlan(of.root, of.metadata, of.snapshot, manifests, of.moved)
 

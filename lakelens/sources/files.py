@@ -65,14 +65,15 @@ class Files:
         return fs.makeQualified(p).toUri().toString()
 
 
-    def uris(self, paths: list[str]) -> list[str]:
-        """uri of many paths: the file system is asked once for each scheme and authority, and for names a URI would change."""
+    def uris(self, paths: list[str], encoded: bool = True) -> list[str]:
+        """uri (else qualified) of many paths: the file system is asked once for each scheme and authority, and for names
+        that a URI would change."""
         roots: dict[str, str] = {}
         out = []
         for path in paths:
             m = PLAIN.fullmatch(path)
             if not m or "/." in path:
-                out.append(self.uri(path))
+                out.append(self.uri(path) if encoded else self.qualified(path))
                 continue
             if m[1] not in roots:
                 roots[m[1]] = self.uri(f"{m[1]}/x")[:-2]
