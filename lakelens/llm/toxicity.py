@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -137,21 +136,32 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
 
 
 def without_near_copies(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows whose shingle set has a similarity under 0.8 to each one that stays, by doc_id. Kept sets are found by shingle."""
+    """Rows whose shingle set has a similarity under 0.8 to each one that stays, by doc_id. Sets that similar share one of
+    their rarest fifth of shingles and one more, so only kept sets that do are compared."""
     rows = rows.sort_values(["doc_id", "text"], kind="stable")
-    sizes, holders, stay = [], {}, []
-    for text in rows["text"]:
-        found = shingle_set(text).tolist()
-        both = Counter(k for h in found for k in holders.get(h, ()))
-        copy = any(WHOLE * n >= PART * (len(found) + sizes[k] - n) for k, n in both.items()) if found else 0 in sizes
+    sets = [np.sort(shingle_set(text)) for text in rows["text"]]
+    known, counts = np.unique(np.concatenate(sets), return_counts=True)
+    holders, stay, empty = {}, [], False
+    for k, found in enumerate(sets):
+        n = len(found)
+        rare = found[np.lexsort((found, counts[np.searchsorted(known, found)]))][: n - -(-PART * n // WHOLE) + 1].tolist() if n else []
+        others = {j for h in rare for j in holders.get(h, ())}
+        copy = any(similar(found, sets[j]) for j in others) if n else empty
+        empty |= not n
         stay.append(not copy)
         if not copy:
-            for h in found:
-                holders.setdefault(h, []).append(len(sizes))
-            sizes.append(len(found))
+            for h in rare:
+                holders.setdefault(h, []).append(k)
     return rows.loc[stay, ["text", "toxic", "fold"]]
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    if WHOLE * min(len(a), len(b)) < PART * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return WHOLE * both >= PART * (len(a) + len(b) - both)
+
+
 def count_features(rows: DataFrame) -> DataFrame:
     """bucket, toxic, n: documents of the sample with the bucket; -1 - toxic: documents. Summed in each task first."""
 
