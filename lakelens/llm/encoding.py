@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text encoded at once (a longer document is a slice of its own), and ids gathered at once.
-SLICE_BYTES, GATHER = 4 << 20, 1 << 20
+SLICE_BYTES, GATHER = 1 << 20, 1 << 20
 #: Pieces in each of the two generations of a worker's memo (about 45 bytes each), and the longest one in bytes.
 MEMO_PIECES, MEMO_CHARS = 500_000, 64
 #: For the memo's hashes: a number for each byte, and one for each place in a piece.

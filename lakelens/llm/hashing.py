@@ -53,18 +53,34 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+#: Fixed values of glibc's mallopt: the size from which memory is mapped, and so given back when freed, and the number of arenas.
+M_MMAP_THRESHOLD, M_ARENA_MAX = -3, -8
+
+
+def give_back() -> None:
+    """Freed memory of this worker goes back to the system. Glibc only; elsewhere Arrow's part alone."""
+    WORDS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def lean(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
-    """A task's function over Arrow batches; when the task ends its worker, which later stages reuse, gives memory back."""
+    """A task's function over Arrow batches. Its worker, which stages share, gives memory back before and after, as the
+    stage before may have been another kind of task; large arrays are mapped apart, so that they go when they are freed."""
 
     @wraps(task)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        option = getattr(ctypes.CDLL(None), "mallopt", None)
+        if option:
+            option(M_MMAP_THRESHOLD, 4 << 20)
+            option(M_ARENA_MAX, 2)
+        pa.set_memory_pool(pa.system_memory_pool())
+        give_back()
         try:
             yield from task(batches)
         finally:
-            WORDS.clear()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-            if trim:
-                trim(0)
+            give_back()
 
     return run

@@ -22,7 +22,7 @@ from .hashing import lean
 
 MAX_LENGTH = 2048
 #: Bytes of pieces that a task gathers before it hands them on, and what a piece takes beside its ids.
-OUT_BYTES, PIECE_BYTES = 4 << 20, 200
+OUT_BYTES, PIECE_BYTES = 2 << 20, 200
 
 
 def binary_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
