@@ -3,9 +3,9 @@
 * Blocks: rows are written once with the number of their block, a run of documents of about BLOCK_BYTES of text. A block
   counts its n-grams (all orders up to ORDER) and sends each distinct one once, packed by hash bucket: sorted, as
   differences. So a frequent n-gram costs an entry per block, never one per occurrence.
-* Buckets: count tables partitioned by hash, as many as keep one of them to about BUCKET n-grams. They sum the counts,
-  join the sums to the blocks' n-grams, and send what occurs twice or more back to the blocks that hold it (the rest
-  is known to occur in one place only).
+* Buckets: count tables partitioned by hash, a range of hashes each, as many as keep one of them to about BUCKET n-grams.
+  They sum the counts, join the sums to the blocks' n-grams, and send each block its totals in the order of its n-grams.
+  The n-grams themselves don't go back, as a block's documents give them again.
 * Scores: documents and totals are joined by block. A document's n-grams look up their totals, its own counts are
   subtracted, and the logarithms are summed per document.
 
@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,13 +45,28 @@ def orders(text: str | None, order: int) -> list[np.ndarray]:
     return [ngrams(words, n) for n in range(1, order + 1)]
 
 
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys as differences, byte by byte of all: the high bytes are zeros, which compress away."""
-    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte of all, compressed: high bytes are zeros, and small counts take a few bits."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys as differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw), dtype=np.uint64)
+
+
+def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so sorted keys are sorted by bucket too."""
+    half = np.uint64(32)
+    return ((keys >> half) * np.uint64(n_buckets) >> half).astype(np.int64)
 
 
 def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
@@ -82,14 +98,11 @@ def counted(rows: DataFrame, order: int, n_buckets: int) -> DataFrame:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             more = keys != ALL
             keys, counts = np.concatenate([[ALL], keys[more]]), np.concatenate([[words], counts[more]])
-            at = (keys % np.uint64(n_buckets)).astype(np.int64)
-            turn = np.argsort(at, kind="stable")
-            ends = np.searchsorted(at[turn], np.arange(n_buckets + 1))
-            keys, counts = keys[turn], counts[turn]
+            ends = np.searchsorted(bucket_of(keys, n_buckets), np.arange(n_buckets + 1))
             full = np.flatnonzero(np.diff(ends))
             parts = [slice(ends[b], ends[b + 1]) for b in full]
             columns = [pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64())]
-            columns += [pa.array([packed(keys[z]) for z in parts], pa.binary()), pa.array([counts[z].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for z in parts], pa.binary())]
+            columns += [pa.array([packed_keys(keys[z]) for z in parts], pa.binary()), pa.array([packed(counts[z]) for z in parts], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["bucket", "block", "keys", "counts"])
 
         for batch in batches:
@@ -107,23 +120,19 @@ def counted(rows: DataFrame, order: int, n_buckets: int) -> DataFrame:
     return rows.mapInArrow(run, "bucket long, block long, keys binary, counts binary")
 
 
-def numbers(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
-
-
 def bucket_totals(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: block, keys and totals of the n-grams of each block that occur twice or more anywhere."""
-    keys, counts = [unpacked(x) for x in pdf["keys"]], [numbers(x) for x in pdf["counts"]]
+    """Of one bucket: bucket, block and the totals over all blocks of the block's n-grams, in the order of their hashes."""
+    keys = [unpacked_keys(x) for x in pdf["keys"]]
     everything, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.zeros(len(everything), np.int64)
-    np.add.at(sums, at, np.concatenate(counts))
-    blocks, out = pdf["block"].to_numpy(), []
+    sums = np.zeros(len(everything), np.uint64)
+    np.add.at(sums, at, np.concatenate([unpacked(x) for x in pdf["counts"]]))
+    del at
+    bucket, blocks, out = int(pdf["bucket"].iloc[0]), pdf["block"].to_numpy(), []
     for block in np.unique(blocks):
+        # a block that was read in two parts counted each of them
         mine = np.unique(np.concatenate([keys[i] for i in np.flatnonzero(blocks == block)]))
-        got = sums[np.searchsorted(everything, mine)]
-        more = (got > 1) | (mine == ALL)
-        out.append((int(block), packed(mine[more]), got[more].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()))
-    return pd.DataFrame(out, columns=["block", "keys", "totals"])
+        out.append((bucket, int(block), packed(sums[np.searchsorted(everything, mine)])))
+    return pd.DataFrame(out, columns=["bucket", "block", "totals"])
 
 
 def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, bucket: int = BUCKET) -> DataFrame:
@@ -131,25 +140,25 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     rows = in_blocks(docs, block_bytes)
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n_buckets = max(1, -(-size * order // (6 * bucket)))  # about six characters a word
-    totals = counted(rows, order, n_buckets).groupBy("bucket").applyInPandas(bucket_totals, "block long, keys binary, totals binary")
+    # a table, so that the counts' shuffle files are gone before documents are shuffled
+    totals = materialize(counted(rows, order, n_buckets).groupBy("bucket").applyInPandas(bucket_totals, "bucket long, block long, totals binary"), "totals")
 
     def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         """Of one block: its documents' scores, from the totals of its n-grams."""
         if not len(texts):
             return pd.DataFrame({"doc_id": [], "n_words": [], "log_score": [], "mean_log_score": []})
-        keys = np.concatenate([np.array([ALL]), *(unpacked(x) for x in found["keys"])])
-        sums = np.concatenate([np.array([0]), *(numbers(x) for x in found["totals"])])
-        turn = np.lexsort((-sums, keys))
-        keys, sums = keys[turn], sums[turn]
+        keys = np.unique(np.concatenate([np.array([ALL]), *(x for text in texts["text"] for x in orders(text, order))]))
+        sums = np.concatenate([unpacked(x) for x in found.sort_values("bucket")["totals"]]).astype(np.int64)
+        if len(keys) != len(sums):
+            raise ValueError(f"{len(sums)} totals for {len(keys)} n-grams of a block")
 
         def find(grams: np.ndarray) -> np.ndarray:
             """Counts in the other documents."""
             mine, at, own = np.unique(grams, return_inverse=True, return_counts=True)
-            place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-            return (np.where(keys[place] == mine, sums[place], own) - own)[at]
+            return (sums[np.searchsorted(keys, mine)] - own)[at]
 
         n_words, scores = [], []
-        everything = sums[keys == ALL].max()
+        everything = sums[0]
         for text in texts["text"]:
             grams = orders(text, order)
             n = len(grams[0])
@@ -170,5 +179,5 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     texts = rows.select("block", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("missing"), "text")
     joined = texts.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, log_score double, mean_log_score double")
     got = materialize(joined, "lm-scores")
-    discard(rows)
+    discard(rows, totals)
     return got
