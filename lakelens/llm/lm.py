@@ -147,26 +147,35 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
         """Of one block: its documents' scores, from the totals of its n-grams."""
         if not len(texts):
             return pd.DataFrame({"doc_id": [], "n_words": [], "log_score": [], "mean_log_score": []})
-        keys = np.unique(np.concatenate([np.array([ALL]), *(x for text in texts["text"] for x in orders(text, order))]))
+        grams = [orders(text, order) for text in texts["text"]]
+        lengths = [[len(x) for x in of] for of in grams]
+        keys, at = np.unique(np.concatenate([np.array([ALL]), *(x for of in grams for x in of)]), return_inverse=True)
+        del grams
         sums = np.concatenate([unpacked(x) for x in found.sort_values("bucket")["totals"]]).astype(np.int64)
         if len(keys) != len(sums):
             raise ValueError(f"{len(sums)} totals for {len(keys)} n-grams of a block")
 
-        def find(grams: np.ndarray) -> np.ndarray:
-            """Counts in the other documents."""
-            mine, at, own = np.unique(grams, return_inverse=True, return_counts=True)
-            return (sums[np.searchsorted(keys, mine)] - own)[at]
+        def in_others(mine: np.ndarray) -> np.ndarray:
+            """Counts in the other documents of one document's n-grams, by their places in keys."""
+            got = sums[mine]
+            more = got > 1
+            _, inverse, own = np.unique(mine[more], return_inverse=True, return_counts=True)
+            got[more] -= own[inverse]
+            got[~more] = 0  # its only one is here
+            return got
 
-        n_words, scores = [], []
+        n_words, scores, end = [], [], 1
         everything = sums[0]
-        for text in texts["text"]:
-            grams = orders(text, order)
-            n = len(grams[0])
+        for of in lengths:
+            n = of[0]
             n_words.append(n)
             if not n:
                 scores.append(0.0)
                 continue
-            counts = [find(x) for x in grams if len(x)]
+            ends = np.cumsum([0, *of])
+            found_here = in_others(at[end : end + ends[-1]])
+            end += ends[-1]
+            counts = [found_here[a:b] for a, b in zip(ends, ends[1:]) if b > a]
             got = np.log(np.maximum(counts[0], 0.5) / max(1, everything - n))
             for k in range(1, len(counts)):  # longer contexts replace what shorter ones gave
                 longer, context = counts[k], counts[k - 1][: len(counts[k])]
