@@ -8,17 +8,18 @@
    min(n - i, m - j) shingles are common; a cell brings together only what this bound, and the sizes, allow.
 3. Pivots: in each cell the set that comes to it earliest in its order, so the one with the fewest shingles of its own.
    Sets are compared with the pivots of their cells.
-4. Triangle inequality: sets whose distances to a pivot add up to at most 0.2 are linked without being compared; those
-   of a cell with |d(x, p) - d(y, p)| above 0.2 aren't linked. All others are compared.
-5. Sketches: a set's sketch has a bit for each bucket of its shingles, set where their number is odd. Where the bits of two
+4. Regions: a set belongs to all pivots within REGION of it, by its distance or what bounds it (6), whose regions are one. A region whose cells bring together many
+   pairs for its sets is dense. It is split into blocks by hash, and its sets meet where two blocks meet, each set once for each
+   block: there the intersections of all pairs come from bit columns of shared shingles, and what leaves is a row for each
+   set, with the number of its links, and one for each set that joins another's component. No row stands for a pair.
+5. Triangle inequality: of the sets that share a cell, and no dense region, those with |d(x, p) - d(y, p)| above 0.2 aren't linked.
+6. Sketches: a set's sketch has a bit for each bucket of its shingles, set where their number is odd. Where the bits of two
    sketches differ, the sets do; so the differing bits bound the distance from below, and most pairs end here.
-6. Regions: before distances are known, a set belongs to the region of its first pivot; after that to all pivots within
-   REGION of it, whose regions are one. A region of more than BLOCK_SETS sets or BLOCK_SHINGLES shingles is split into
-   blocks by hash. Two sets are compared where their blocks meet, so a set travels once for each block it meets and not
-   once for each pair; where pairs are few for a region's blocks, they meet at one of the two sets. No group ever holds
-   more than two blocks. Every link between classes is found, within a component too.
-7. Components of the compared links (those known by a pivot connect nothing more), by stars (large and small in turn),
-   in tables. A row's n_links are the other rows it is linked with, copies (linked with similarity 1) by their number.
+   What is left is compared as whole sets where blocks of regions meet, or at one of the two sets where pairs are few.
+7. Components of the links by stars (large and small in turn), in tables. A row's n_links are the other rows it is linked
+   with, copies (linked with similarity 1) by their number.
+
+A dense region of m sets costs m * m / 2 intersections, done by words of 64 shingles, and m * m / DENSE_SETS sets sent.
 
 The order of shingles, the pivots and the regions change cost only: every choice gives the same links.
 
@@ -47,10 +48,12 @@ WINDOW = 5
 PART, WHOLE = 80, 100
 #: Shingles a task's summary of frequent ones holds, and how many the ordering uses: a bound, not a filter.
 SUMMARY, FREQUENT, LEAST = 1 << 15, 1 << 15, 16
-#: Regions of pivots with a set this near to both are one.
+#: Regions of pivots with a set this near to both, as far as is known, are one.
 REGION = 0.5
 #: Sets and shingles of a block, about.
 BLOCK_SETS, BLOCK_SHINGLES = 64, 200_000
+#: Sets of a dense region's block, the pairs for each set sent that make a region dense, and the shared shingles held as bits at once.
+DENSE_SETS, DENSE_PAIRS, COLUMNS = 512, 4, 1 << 13
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -255,6 +258,85 @@ def linked():
     return F.expr(f"{WHOLE} * both >= {PART} * all")
 
 
+def intersections(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The sizes of the intersections of the sets at the places first with those at second."""
+    got = np.zeros((len(first), len(second)), np.int64)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = count > 1
+    kept = shared[column]
+    row, column = row[kept], (np.cumsum(shared) - 1)[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for a in range(0, int(shared.sum()), COLUMNS):
+        low, high = np.searchsorted(column, [a, a + COLUMNS])
+        bits = np.zeros((len(sets), COLUMNS), bool)
+        bits[row[low:high], column[low:high] - a] = True
+        words = np.packbits(bits, axis=1).view(np.uint64)
+        others = words[second]
+        for k, x in enumerate(first):
+            got[k] += np.bitwise_count(others & words[x]).sum(axis=1, dtype=np.int64)
+    return got
+
+
+def least_linked(links: np.ndarray) -> np.ndarray:
+    """Of a symmetric matrix of links: the least place in the component of each."""
+    label = np.arange(len(links))
+    while True:
+        near = np.minimum(label, np.where(links, label, len(links)).min(axis=1, initial=len(links)))
+        np.minimum.at(near, label, near.copy())
+        near = near[near]
+        if (near == label).all():
+            return label
+        label = near
+
+
+def meeting(members: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    """Where two blocks of a dense region meet, or a block itself: x and others, the rows in sets linked with it; x and y, a set
+    of its component here."""
+    known = {x: np.frombuffer(s, np.uint64) for x, s in zip(sets["x"], sets["shingles"], strict=True)}
+    members = members.sort_values("x")
+    x, copies, side = (members[k].to_numpy() for k in ("x", "copies", "side"))
+    held = [known[k] for k in x]
+    n = np.array([len(s) for s in held])
+    own = not (side == 1).any()
+    first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    both = intersections(held, first, second)
+    near = WHOLE * both >= PART * (n[first][:, None] + n[second] - both)
+    links = np.zeros((len(x), len(x)), bool)
+    links[np.ix_(first, second)] = near
+    if not own:
+        links[np.ix_(second, first)] = near.T
+    np.fill_diagonal(links, False)
+    others = links @ copies
+    root = least_linked(links)
+    some, apart = np.flatnonzero(others), np.flatnonzero(root != np.arange(len(x)))
+    counted = pd.DataFrame({"x": x[some], "y": pd.array([None] * len(some), "Int64"), "others": pd.array(others[some], "Int64")})
+    joined = pd.DataFrame({"x": x[apart], "y": pd.array(x[root[apart]], "Int64"), "others": pd.array([None] * len(apart), "Int64")})
+    return pd.concat([counted, joined], ignore_index=True)
+
+
+def dense_regions(known: DataFrame, regions: DataFrame) -> DataFrame:
+    """A table region, blocks: the regions whose cells bring together many pairs for the sets that their blocks send."""
+    inside = known.groupBy("h", "region").agg(F.count("*").alias("c")).where("c > 1").groupBy("region").agg(F.sum(F.expr("c * (c - 1) / 2")).alias("pairs"))
+    blocks = F.greatest(F.ceil(F.count("*") / DENSE_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    sizes = regions.groupBy("region").agg(F.count("*").alias("sets"), blocks.alias("blocks"))
+    return materialize(sizes.join(inside, "region").where(f"{DENSE_PAIRS} * sets * blocks <= least(pairs, sets * (sets - 1) / 2)").select("region", "blocks"), "dense-regions")
+
+
+def dense_links(docs: DataFrame, dense: DataFrame) -> DataFrame:
+    """A table x, y, others (see meeting) of all links inside dense regions. dense: x, region, blocks, copies."""
+    block = F.expr("pmod(xxhash64(x), blocks)")
+    met = dense.withColumn("own", block).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    met = met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "x", "copies", F.expr("case when own < other then 0 when own > other then 1 else 2 end").alias("side"))
+    met = materialize(met, "dense-blocks")
+    needs = materialize(met.groupBy("x").agg(F.collect_list("block").alias("blocks")), "dense-needs")
+    sets = sets_by_block(docs, needs)
+    got = materialize(met.groupBy("block").cogroup(sets.groupBy("block")).applyInPandas(meeting, "x long, y long, others long"), "dense-links")
+    discard(met, needs)
+    return got
+
+
 def components(edges: DataFrame) -> DataFrame:
     """A table node, root (smallest reachable) of each node that has an edge (a, b). Each round is a table of at most as many
     rows as there are edges; rounds grow with the logarithm of a component's diameter."""
@@ -297,9 +379,28 @@ def ordered(x: str, y: str) -> list:
     return [F.greatest(x, y).alias("x"), F.least(x, y).alias("y")]
 
 
-def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """A table a, b, sure: every link between classes (by their rows x, a > b), once; a sure one joins two sets linked with a
-    pivot, so the others connect what it connects."""
+def cell_pairs(known: DataFrame) -> DataFrame:
+    """x, y: the pairs of a cell that share no dense region g (-1: none) and may be linked. Groups meet first, by the bounds of
+    their sets, so that the sets of one dense region are never joined with each other."""
+    groups = known.groupBy("h", "g").agg(F.min("n").alias("a"), F.max("n").alias("b"), F.max(F.expr("n - i")).alias("l"), F.count("*").alias("c"))
+    second = groups.select("h", *[F.col(c).alias(f"{c}2") for c in ("g", "a", "b", "l")])
+    met = groups.join(second, "h").where(
+        f"(g < g2 or g = -1 and g2 = -1 and c > 1) and {WHOLE} * b >= {PART} * a2 and {WHOLE} * b2 >= {PART} * a and {WHOLE + PART} * least(l, l2) >= {PART} * (a + a2)"
+    )
+    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("g", "x", "n", "i", "d", "low")])
+    limit = 1 - PART / WHOLE
+    pairs = known.join(met.select("h", "g", "g2"), ["h", "g"]).join(other, ["h", "g2"]).where(
+        ((F.col("x") > F.col("x2")) | (F.col("g") != F.col("g2")))
+        & allowed("n", "i", "n2", "i2")
+        & F.coalesce(F.col("low2") - F.col("d") <= limit + 1e-9, F.lit(True))
+        & F.coalesce(F.col("low") - F.col("d2") <= limit + 1e-9, F.lit(True))
+    )
+    return pairs.select(*ordered("x", "x2")).distinct()
+
+
+def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables a, b: every link between classes (by their rows, a > b) outside dense regions, once; and x, y, others: those inside
+    of them, as the number of rows linked with x, or a set y that x is connected with."""
     limit = 1 - PART / WHOLE
     entries = pivoted_cells(rows, classes)
     homes = materialize(entries.groupBy("x").agg(F.first("n").alias("n"), F.min("p").alias("region")), "first-regions")
@@ -310,32 +411,27 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     exact = near.select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
     distance = bounds.select("x", F.col("y").alias("p"), "low").join(exact, ["x", "p"], "left").select("x", "p", "d", F.coalesce("d", "low").alias("low"))
     distance = materialize(distance, "distances")
-    close = near.where(linked()).select("x", F.col("y").alias("p"), (1 - F.col("both") / F.col("all")).alias("d"))
-    sure = close.join(close.select("p", F.col("x").alias("x2"), F.col("d").alias("d2")), "p").where((F.col("x") > F.col("x2")) & (F.col("d") + F.col("d2") <= limit - 1e-9))
-    sure = materialize(sure.select("x", F.col("x2").alias("y")).distinct(), "sure-links")
-    known = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").select("h", "x", "n", "i", "d", "low")
-    known = materialize(known, "cells-by-distance")
-    other = known.select("h", *[F.col(c).alias(f"{c}2") for c in ("x", "n", "i", "d", "low")])
-    pairs = known.join(other, "h").where(
-        (F.col("x") > F.col("x2"))
-        & allowed("n", "i", "n2", "i2")
-        & F.coalesce(F.col("low2") - F.col("d") <= limit + 1e-9, F.lit(True))
-        & F.coalesce(F.col("low") - F.col("d2") <= limit + 1e-9, F.lit(True))
-        & F.coalesce(F.col("d") + F.col("d2") > limit - 1e-9, F.lit(True))
-    )
-    pairs = pairs.select("x", F.col("x2").alias("y")).distinct()
-    done = stars.select(*ordered("x", "y")).unionByName(sure)
-    pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "pairs")
-    discard(entries, known)
-    roots = components(distance.where(F.col("d") <= REGION).select(F.col("x").alias("a"), F.col("p").alias("b")))
+    roots = components(distance.where(F.col("low") <= REGION).select(F.col("x").alias("a"), F.col("p").alias("b")))
     regions = homes.join(roots, F.col("x") == F.col("node"), "left").select("x", "n", F.coalesce("root", "x").alias("region"))
     regions = materialize(regions, "regions")
+    placed = entries.where("c > 2 and x <> p").select("h", "x", "n", "i", "p").join(distance, ["x", "p"], "left").join(regions.select("x", "region"), "x")
+    placed = materialize(placed.select("h", "x", "n", "i", "d", "low", "region"), "cells-by-distance")
+    where = dense_regions(placed, regions)
+    dense = materialize(regions.join(where, "region").join(classes.select("x", "copies"), "x").select("x", "region", "blocks", "copies"), "dense-sets")
+    inside = dense_links(docs, dense)
+    known = placed.join(where.select("region", F.col("region").alias("g")), "region", "left").select("h", "x", "n", "i", "d", "low", F.coalesce("g", F.lit(-1).cast("long")).alias("g"))
+    known = materialize(known, "cells-by-region")
+    pairs = materialize(cell_pairs(known).join(stars.select(*ordered("x", "y")), ["x", "y"], "left_anti"), "pairs")
+    discard(entries, placed, known)
     further = bounded(rows, pairs)
     more = compared(docs, materialize(further.where(F.col("low") <= limit + 1e-9), "bounded-pairs"), regions)
-    found = near.unionByName(more).where(linked()).select(*ordered("x", "y"), F.lit(False).alias("sure")).unionByName(sure.withColumn("sure", F.lit(True)))
-    found = materialize(found.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("sure").alias("sure")), "links")
-    discard(homes, stars, bounds, near, distance, sure, pairs, roots, regions, further, more)
-    return found
+    at = dense.select("x", F.col("region").alias("at_x"))
+    apart = near.where(linked()).select(*ordered("x", "y")).join(at, "x", "left").join(at.select(F.col("x").alias("y"), F.col("at_x").alias("at_y")), "y", "left")
+    apart = apart.where("coalesce(at_x <> at_y, true)").select("x", "y")
+    found = apart.unionByName(more.where(linked()).select(*ordered("x", "y")))
+    found = materialize(found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+    discard(homes, stars, bounds, near, distance, pairs, roots, regions, where, dense, further, more)
+    return found, inside
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -352,10 +448,11 @@ def near_numbered(docs: DataFrame) -> DataFrame:
     some = rows.where("n > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c")))
     classes = materialize(some.groupBy("key").agg(F.min("_row").alias("x"), first.alias("best"), F.count("*").alias("copies")), "classes")
-    found = links(docs, rows, classes)
-    roots = components(found.where("not sure").select("a", "b"))
+    found, inside = links(docs, rows, classes)
+    roots = components(found.unionByName(inside.where("y is not null").select(F.col("x").alias("a"), F.col("y").alias("b"))))
     both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(classes.select(F.col("x").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    others = both.join(classes.select(F.col("x").alias("b"), "copies"), "b").select("a", "copies")
+    others = others.unionByName(inside.where("others is not null").select(F.col("x").alias("a"), F.col("others").alias("copies"))).groupBy("a").agg(F.sum("copies").alias("others"))
     rooted = classes.select("key", "x", "best", "copies").join(roots, F.col("x") == F.col("node"), "left").withColumn("root", F.coalesce("root", "x"))
     best = rooted.groupBy("root").agg(F.min("best").alias("best"))
     n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
@@ -365,7 +462,7 @@ def near_numbered(docs: DataFrame) -> DataFrame:
     empty = rows.where("n = 0").select("_row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.col("_row").alias("keep_row"), F.lit(0).cast("long").alias("n_links"))
     got = named.unionByName(empty).select("_row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "keep_row", "n_links")
     got = materialize(got, "near-duplicates")
-    discard(rows, classes, found, roots)
+    discard(rows, classes, found, inside, roots)
     return got
 
 

@@ -244,6 +244,44 @@ def test_jaccard_join_links_within_families(spark, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("edits", [[2], [0, 1, 2, 3]])
+def test_jaccard_join_makes_no_rows_of_the_pairs_of_a_family(spark, tmp_path, monkeypatch, edits):
+    """One family of differing near copies, linked, just below the limit or mixed, with copies among them: every link is counted,
+    and what lies between holds a few rows for a set, not one for a pair."""
+    rng = random.Random(3)
+    words, rows, made = [f"w{i}" for i in range(100)], [], collections.Counter()
+    for _ in range(120):
+        near = list(words)
+        for _ in range(rng.choice(edits)):
+            near[rng.randrange(len(near))] = f"x{rng.random()}"
+        rows += [(len(rows) + i, " ".join(near)) for i in range(rng.choice([1, 1, 1, 2]))]
+    rows += [(len(rows) + i, " ".join(f"y{i}_{j}" for j in range(30))) for i in range(20)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    materialize = neardup.materialize
+
+    def counting(df, name):
+        got = materialize(df, name)
+        made[name] = max(made[name], got.count())
+        return got
+
+    monkeypatch.setattr(neardup, "materialize", counting)
+    monkeypatch.setattr(neardup, "DENSE_SETS", 40, raising=False)
+    got = neardup.near_duplicates(spark.read.parquet(path)).collect()
+    assert collections.Counter((x.doc_id, x.n_links) for x in got) == brute_links(rows)
+    assert collections.Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == brute_components(rows)
+    assert max(v for k, v in made.items() if "cells" not in k) < 12 * 120
+
+
+def test_intersections_of_many_columns(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 400, k).astype(np.uint64) << np.uint64(50)) for k in (0, 1, 40, 200, 200, 900)]
+    monkeypatch.setattr(neardup, "COLUMNS", 64)
+    first, second = np.array([1, 3, 5]), np.array([0, 2, 4])
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in second] for a in first]
+    assert neardup.intersections(sets, first, second).tolist() == want
+
+
 def test_near_dedup_keeps_columns(docs, rows):
     got = neardup.near_dedup(docs)
     assert got.columns == docs.columns
