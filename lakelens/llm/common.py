@@ -6,6 +6,7 @@ import math
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,11 +50,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+    trim_driver(spark)
     table = spark.read.schema(df.schema).parquet(path)
     table.shared_path = path
     return table
 
 
+def trim_driver(spark: SparkSession) -> bool:
+    """Memory that the driver's JVM has freed outside its heap goes back to the system. Each query is planned, compiled and
+    broadcast by many threads, and what glibc keeps of theirs, some 200 MB after a few hundred queries, counts as the driver's.
+    False where the JVM has no such command (it is for Linux, from JDK 17.0.9 on): then that memory stays as it is."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    types, values = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+    named = jvm.java.lang.Class.forName
+    for k, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        types[k] = named(kind)
+    values[0], values[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:  # by the interface's method, as the server's own class is not open to calls
+        named("javax.management.MBeanServer").getMethod("invoke", types).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+    except Py4JJavaError:
+        return False
+    return True
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that materialize wrote, once all that reads them is written itself."""
     for x in tables:

@@ -43,6 +43,8 @@ MEMO_WORDS, MEMO_CHARS = 100_000, 64
 #: Least log-odds ratio of a token that scores. A large sample makes any slight difference significant, such as that of
 #: lengths; this keeps what counts alike at every size.
 EFFECT = 1.0
+#: Buckets whose scores the driver works out at once.
+SLICE = 1 << 16
 STRIP = ".,;:!?|()[]\"'"
 
 
@@ -188,17 +190,21 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -
     Significant: the signed root of the deviance from equal rates is above what the largest of as many chance buckets
     would reach, and the ratio above EFFECT; 0 elsewhere.
     """
+    found = np.zeros(len(toxic), np.float32)
     if not n_toxic or not n_clean:
-        return np.zeros(len(toxic), np.float32)
-    both = toxic + clean
-    prior = PRIOR * (both + 0.5) / (n_toxic + n_clean)
-    odds = lambda y, n: np.log((y + prior) / (n + PRIOR - y - prior).clip(0.5))
-    expected = np.maximum(both * (n_toxic / (n_toxic + n_clean)), 1e-9)
+        return found
+    odds = lambda y, n, prior: np.log((y + prior) / (n + PRIOR - y - prior).clip(0.5))
     part = lambda y, e: np.where(y > 0, y * np.log(np.maximum(y, 1) / np.maximum(e, 1e-9)), 0.0)
-    deviance = 2 * (part(toxic, expected) + part(clean, both - expected))
     least = math.sqrt(2 * math.log(max(2, int((toxic > 0).sum())))) + MARGIN
-    score = odds(toxic, n_toxic) - odds(clean, n_clean)
-    return np.where((toxic > expected) & (deviance > least**2) & (score > EFFECT), np.minimum(score, CEILING), 0).astype(np.float32)
+    for a in range(0, len(toxic), SLICE):  # a slice at a time, as each step makes arrays of that length
+        t, c = toxic[a : a + SLICE], clean[a : a + SLICE]
+        both = t + c
+        prior = PRIOR * (both + 0.5) / (n_toxic + n_clean)
+        expected = np.maximum(both * (n_toxic / (n_toxic + n_clean)), 1e-9)
+        deviance = 2 * (part(t, expected) + part(c, both - expected))
+        score = odds(t, n_toxic, prior) - odds(c, n_clean, prior)
+        found[a : a + SLICE] = np.where((t > expected) & (deviance > least**2) & (score > EFFECT), np.minimum(score, CEILING), 0)
+    return found
 
 
 def solve_rate(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -245,10 +251,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     known = materialize(sample(docs, labels, rows), "toxicity-sample")
     size = 1 << FEATURES_LOG2
     # at most two rows for each bucket reach the driver
-    got = count_features(known.where("fold <> 4")).groupBy("bucket", "toxic").agg(F.sum("n").alias("n")).toArrow()
-    bucket, toxic, n = (got.column(i).to_numpy() for i in range(3))
+    got = count_features(known.where("fold <> 4")).groupBy("bucket", "toxic").agg(F.sum("n").alias("n"))
+    got = got.select(F.col("bucket").cast("int"), F.col("toxic").cast("byte"), "n").toArrow()
     counts = np.zeros((2, size + 1), np.int64)
-    counts[toxic, bucket] = n  # -1: the last one
+    for batch in got.to_batches():
+        bucket, toxic, n = (batch.column(i).to_numpy() for i in range(3))
+        counts[toxic, bucket] = n  # -1: the last one
+    del got
     model = Model(log_odds(counts[1, :-1], counts[0, :-1], int(counts[1, -1]), int(counts[0, -1])))
     # word tokens of clean documents by score: significant buckets against the rest
     hits = counts[0, :-1][model.scores > 0]

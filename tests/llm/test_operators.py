@@ -5,14 +5,16 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from lakelens.llm import chat, dedup, encoding, lm, mixing, neardup, packing, queries, rules, tokenstore, toxicity, weaklabels
-from lakelens.llm.common import shared_path
+from lakelens.llm.common import materialize, shared_path, trim_driver
 from lakelens.llm.textstats import text_stats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -570,6 +572,36 @@ def test_slight_odds_do_not_score():
     assert toxicity.log_odds(np.array([4_000, 24_000]), np.array([300, 240_000]), 28_000, 244_000)[0] > 1
 
 
+def test_log_odds_take_little_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    toxic, clean = rng.integers(0, 40, 1 << 20), rng.integers(0, 400, 1 << 20)
+    tracemalloc.start()
+    got = toxicity.log_odds(toxic, clean, 3_000, 30_000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got > 0).any() and most < 20 << 20
+    monkeypatch.setattr(toxicity, "SLICE", 1 << 20)
+    assert (got == toxicity.log_odds(toxic, clean, 3_000, 30_000)).all()
+
+
+def test_written_tables_leave_no_freed_memory_with_the_driver(spark):
+    if not trim_driver(spark):
+        pytest.skip("this JVM can't give memory back")
+    status = Path(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/status")
+    held = lambda: int(re.search(r"RssAnon:\s+(\d+)", status.read_text())[1]) >> 10
+    rows = spark.range(10).repartition(2)
+    materialize(rows, "first")
+    native = [spark._jvm.java.util.zip.Deflater() for _ in range(1500)]
+    for x in native[:-1]:  # the last one keeps the memory below it from going by itself
+        x.end()
+    materialize(rows, "second")
+    before = held()
+    trim_driver(spark)
+    left = before - held()
+    native[-1].end()
+    assert left < 50
+
+
 def test_toxicity_sample_drops_near_copies_only(spark):
     """Short texts and texts that share a passage aren't near copies; copies are."""
     ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:62]
